@@ -20,10 +20,9 @@ STREAM_METHOD_PATTERN = r'"(\w+) '
 STREAM_URL_PATTERN = r'"(?:\w+) (.*?) HTTP'
 STREAM_PROTOCOL_PATTERN = r'HTTP/\d.\d"'
 
-# Positions in a stream message split at single blanks.
+# Positions in a stream message split at single blanks; the zone follows the time.
 TOKEN_IP = 0
 TOKEN_TIME = 3
-TOKEN_ZONE = 4
 TOKEN_METHOD = 5
 TOKEN_URL = 6
 TOKEN_STATUS = 8

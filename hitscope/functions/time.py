@@ -2,8 +2,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, functions as F
 
-_LOCAL_FORM = "dd/MMM/yyyy:HH:mm:ss"
-_LOCAL_LENGTH = len("01/Jan/2024:00:00:00")
+# Any offset the text lacks is supplied by appending one; where the text has its
+# own, that one is read first and the appended one is skipped as a literal.
+_DEFAULT_OFFSET = " +0000"
+_REQUEST_TIME_FORM = f"dd/MMM/yyyy:HH:mm:ss[ XXX][ Z]['{_DEFAULT_OFFSET}']"
 
 
 def request_time(text: Column) -> Column:
@@ -11,15 +13,11 @@ def request_time(text: Column) -> Column:
 
     The offset is honoured (``+0100``, ``+01:00``, ``Z``), a missing one means
     UTC, and text that is not a time gives NULL. The session time zone plays no
-    part.
+    part. ``text`` occurs once in the expression, as Catalyst copies it into
+    each filter on the result.
     """
-    text = F.trim(text)
-    zoned = F.when(F.length(text) <= _LOCAL_LENGTH, F.concat(text, F.lit(" +0000"))).otherwise(text)
-    # One format per line: a failed attempt costs an exception each time.
-    extended_offset = zoned.endswith("Z") | (F.substring(zoned, -3, 1) == ":")
-    return F.when(
-        extended_offset, F.try_to_timestamp(zoned, F.lit(f"{_LOCAL_FORM} XXX"))
-    ).otherwise(F.try_to_timestamp(zoned, F.lit(f"{_LOCAL_FORM} Z")))
+    zoned = F.concat(F.trim(text), F.lit(_DEFAULT_OFFSET))
+    return F.try_to_timestamp(zoned, F.lit(_REQUEST_TIME_FORM))
 
 
 def utc_wall_clock(instant: Column) -> Column:

@@ -23,7 +23,6 @@ from hitscope.fixed_values import (
     TOKEN_STATUS,
     TOKEN_TIME,
     TOKEN_URL,
-    TOKEN_ZONE,
 )
 from hitscope.functions import (
     category_from_path,
@@ -133,9 +132,25 @@ def malformed_lines(lines: DataFrame, line_format: str = "current") -> DataFrame
     return lines.where(~F.coalesce(matches, F.lit(False)))
 
 
-def _tokens(count: int) -> Column:
-    # A limit above the last token wanted spares splitting the rest of the line.
-    return F.split("value", " ", count + 1)
+def _with_column_once(rows: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a column that is computed in one place.
+
+    Catalyst copies the expression of a plain column into each filter on it,
+    the implied NOT NULL of a window among them, where it runs again.
+    ``inline`` of one row holds it in place; filters on other columns still
+    move below it.
+    """
+    return rows.select("*", F.inline(F.array(F.struct(column.alias(name)))))
+
+
+def _split(messages: DataFrame, tokens: int, keep: Sequence[str]) -> DataFrame:
+    # A limit spares splitting the rest of the line.
+    split = F.split("value", " ", tokens + 1)
+    return _with_column_once(messages.select(*keep, "value"), "tokens", split)
+
+
+def _token(i: int) -> Column:
+    return F.get("tokens", F.lit(i))
 
 
 def parse_stream_tokens(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -143,18 +158,16 @@ def parse_stream_tokens(messages: DataFrame, keep: Sequence[str] = ()) -> DataFr
 
     The time is the fourth token with the offset from the fifth.
     """
-    token = lambda i: F.get("tokens", F.lit(i))
-    time_text = F.concat_ws(
-        " ", F.ltrim(token(TOKEN_TIME), F.lit("[")), F.rtrim(token(TOKEN_ZONE), F.lit("]"))
-    )
-    return messages.select(*keep, _tokens(TOKEN_STATUS + 1).alias("tokens")).select(
+    fields = _split(messages, TOKEN_STATUS + 1, keep).select(
         *keep,
-        token(TOKEN_IP).alias("ip"),
-        request_time(time_text).alias("ts"),
-        F.ltrim(token(TOKEN_METHOD), F.lit('"')).alias("method"),
-        token(TOKEN_URL).alias("url"),
-        token(TOKEN_STATUS).try_cast("int").alias("status"),
+        _token(TOKEN_IP).alias("ip"),
+        F.concat_ws(" ", F.slice("tokens", TOKEN_TIME + 1, 2)).alias("time_text"),
+        F.ltrim(_token(TOKEN_METHOD), F.lit('"')).alias("method"),
+        _token(TOKEN_URL).alias("url"),
+        _token(TOKEN_STATUS).try_cast("int").alias("status"),
     )
+    time = request_time(F.btrim("time_text", F.lit("[]")))
+    return _with_column_once(fields, "ts", time).select(*keep, "ip", "ts", "method", "url", "status")
 
 
 def parse_stream_regex(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -163,14 +176,13 @@ def parse_stream_regex(messages: DataFrame, keep: Sequence[str] = ()) -> DataFra
     As status and size go by position, a blank in the url moves them. The
     protocol keeps its closing quote.
     """
-    token = lambda i: F.get("tokens", F.lit(i))
-    return messages.select(*keep, "value", _tokens(TOKEN_SIZE + 1).alias("tokens")).select(
+    return _split(messages, TOKEN_SIZE + 1, keep).select(
         *keep,
-        token(TOKEN_IP).alias("ip"),
+        _token(TOKEN_IP).alias("ip"),
         F.regexp_extract("value", STREAM_TIME_PATTERN, 1).alias("timestamp_text"),
         F.regexp_extract("value", STREAM_METHOD_PATTERN, 1).alias("method"),
         F.regexp_extract("value", STREAM_URL_PATTERN, 1).alias("url"),
         F.regexp_extract("value", STREAM_PROTOCOL_PATTERN, 0).alias("protocol"),
-        token(TOKEN_STATUS).try_cast("int").alias("status"),
-        token(TOKEN_SIZE).try_cast("int").alias("size"),
+        _token(TOKEN_STATUS).try_cast("int").alias("status"),
+        _token(TOKEN_SIZE).try_cast("int").alias("size"),
     )

@@ -41,6 +41,9 @@ _CHECK_BURST_DATE = (
     "strftime(timestamp '2024-01-01 00:00:00' + to_seconds(event_id * 3 // 100), '%d/%b/%Y:%H:%M:%S')"
 )
 
+# A micro-batch is what a failure repeats.
+_BATCH_BYTES = 256 << 30
+
 
 def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
@@ -69,7 +72,7 @@ def log_line_stream(spark: SparkSession, sf_dir: str, burst: bool = False) -> Da
     path = events_path(sf_dir)
     events = (
         spark.readStream.schema(spark.read.parquet(path).schema)
-        .option("maxBytesPerTrigger", "256g")
+        .option("maxBytesPerTrigger", str(_BATCH_BYTES))
         # A bracket makes it a glob, which a stream accepts for a file and a folder alike.
         .parquet(f"{path[:-1]}[{path[-1]}]")
     )

@@ -91,8 +91,9 @@ def one_read_program(logs: DataFrame, path: str) -> dict[str, DataFrame]:
     each report from its folder. Against one job per report this reads and
     parses the log once instead of eight times.
     """
-    traffic_rollup(logs).write.partitionBy("dimension").mode("overwrite").parquet(path)
-    saved = logs.sparkSession.read.parquet(path)
+    rollup = traffic_rollup(logs)
+    rollup.write.partitionBy("dimension").mode("overwrite").parquet(path)
+    saved = logs.sparkSession.read.schema(rollup.schema).parquet(path)
 
     def counts(dimension: str, key_type: str = "string", count: str = "requests") -> DataFrame:
         return saved.where(F.col("dimension") == dimension).select(

@@ -10,12 +10,14 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     executor memory, and a commit uploads changes only. The number of state
     partitions is fixed by a query's first start and cannot follow the data
     later, so it is chosen here: one per core of the cluster unless given.
-    The caller's own session stays as it is.
+    The caller's settings carry over, and its own session stays as it is.
     """
     session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
     if state_partitions is None:
         state_partitions = spark.sparkContext.defaultParallelism
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
