@@ -60,3 +60,19 @@ def test_results_do_not_depend_on_the_session_time_zone(spark):
         assert run() == in_utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_known_counts_of_the_derived_log(spark):
+    """Row counts worked out once from the sf0.01 events, by hand-written SQL elsewhere."""
+    from hitscope import operators as op
+    from hitscope.plans.inputs import log_lines
+
+    sf_dir = "/root/testdata/sf0.01"
+    spread = op.parse_access_log(log_lines(spark, sf_dir))
+    burst = op.parse_access_log(log_lines(spark, sf_dir, burst=True))
+    assert op.total_requests(spread).first()[0] == 9798
+    assert op.error_spikes(spread).count() == 1301
+    assert sorted((r.status, r.requests) for r in op.error_spikes(burst).collect()) == [(404, 676), (500, 638)]
+    assert op.trending_products(burst).count() == 18
+    assert op.suspicious_ips(burst).count() == 50
+    assert spread.where("status >= 400").count() == 1968

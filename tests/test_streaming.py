@@ -21,7 +21,7 @@ from hitscope.streaming import (
 )
 
 SF_DIR = "/root/testdata/sf0.01"
-_names = (f"query-{i}" for i in itertools.count())
+_names = (f"query_{i}" for i in itertools.count())
 
 
 @pytest.fixture(scope="module")
@@ -170,7 +170,7 @@ def test_console_and_memory_sinks(spark, tmp_path):
     query = _run(op.status_counts(logs), tmp_path / "console", sink="console")
     assert [p["numInputRows"] for p in query.recentProgress] == [1]
     query = _run(op.status_counts(logs), tmp_path / "memory", sink="memory", mode="complete")
-    assert _rows(logs.sparkSession.table(f"`{query.name}`")) == [(404, 1)]
+    assert _rows(logs.sparkSession.table(query.name)) == [(404, 1)]
 
 
 def test_waiting_raises_when_any_query_fails(spark, tmp_path):
