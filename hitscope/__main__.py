@@ -1,20 +1,29 @@
 """Run a program from the command line, as ``spark-submit`` or ``python -m hitscope``.
 
-    report  --format current --log PATH [--out DIR]
+    report  --format current --log PATH [--out DIR] [--one-read DIR]
     alerts  --source kafka --option subscribe=weblogs ... --checkpoint DIR
     status  --source kafka --option subscribe=logs ... --checkpoint DIR --out DIR
 """
 
 import argparse
 
-from pyspark.sql import SparkSession
-
-from hitscope.operators import parse_stream_regex, parse_stream_tokens, status_counts
-from hitscope.plans import basic_program, current_program, extended_program
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from hitscope.functions import two_decimals
+from hitscope.operators import (
+    parse_access_log,
+    parse_basic_log,
+    parse_extended_log,
+    parse_stream_regex,
+    parse_stream_tokens,
+    status_counts,
+)
+from hitscope.plans import basic_program, current_program, extended_program, one_read_program
 from hitscope.sources import read_log_lines, read_log_stream
 from hitscope.streaming import append_batch, await_all, start_alerts, start_query, stream_session
 
 _PROGRAMS = {"current": current_program, "extended": extended_program, "basic": basic_program}
+_PARSERS = {"current": parse_access_log, "extended": parse_extended_log, "basic": parse_basic_log}
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -25,6 +34,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     report.add_argument("--log", required=True, nargs="+", help="files, folders or globs")
     report.add_argument("--format", choices=_PROGRAMS, default="current")
     report.add_argument("--out", help="write one parquet table per analysis here instead of showing 20 rows")
+    report.add_argument("--one-read", metavar="DIR", help="counting analyses only, from one read; keep the counts here")
 
     for name, text in (("alerts", "the three alerts on a stream"), ("status", "running count per status")):
         stream = commands.add_parser(name, help=text)
@@ -38,13 +48,23 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _for_display(result: DataFrame) -> DataFrame:
+    means = [f.name for f in result.schema if f.dataType.typeName() == "double"]
+    return result.withColumns({name: two_decimals(F.col(name)) for name in means})
+
+
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
-    for name, result in _PROGRAMS[args.format](read_log_lines(spark, args.log)).items():
+    lines = read_log_lines(spark, args.log)
+    if args.one_read:
+        reports = one_read_program(_PARSERS[args.format](lines), args.one_read)
+    else:
+        reports = _PROGRAMS[args.format](lines)
+    for name, result in reports.items():
         if args.out:
             result.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
         else:
             print(name)
-            result.show(truncate=False)
+            _for_display(result).show(truncate=False)
 
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:

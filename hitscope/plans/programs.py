@@ -6,7 +6,7 @@ collects it.
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hitscope.fixed_values import (
     LEAST_URLS,
@@ -35,6 +35,7 @@ from hitscope.operators import (
     total_requests,
     traffic_rollup,
 )
+from hitscope.operators.rollup import ROLLUP_DIMENSIONS
 
 
 def current_program(lines: DataFrame) -> dict[str, DataFrame]:
@@ -85,39 +86,44 @@ def basic_program(lines: DataFrame) -> dict[str, DataFrame]:
 
 
 def one_read_program(logs: DataFrame, path: str) -> dict[str, DataFrame]:
-    """The counting reports from a single read of a parsed log.
+    """The counting reports from a single read of a parsed log, of any format.
 
     Writes ``traffic_rollup`` to ``path``, one folder per dimension, and answers
     each report from its folder. Against one job per report this reads and
-    parses the log once instead of eight times.
+    parses the log once instead of once for each. Reports on columns that the
+    format lacks are left out.
     """
-    rollup = traffic_rollup(logs)
+    dimensions = [d for d in ROLLUP_DIMENSIONS if d in logs.columns]
+    rollup = traffic_rollup(logs, dimensions)
     rollup.write.partitionBy("dimension").mode("overwrite").parquet(path)
     saved = logs.sparkSession.read.schema(rollup.schema).parquet(path)
 
-    def counts(dimension: str, key_type: str = "string", count: str = "requests") -> DataFrame:
-        return saved.where(F.col("dimension") == dimension).select(
-            F.col("item").cast(key_type).alias(dimension), F.col("requests").alias(count)
-        )
-
-    def means(dimension: str) -> DataFrame:
-        return saved.where(F.col("dimension") == dimension).select(
-            F.col("item").alias(dimension), "avg_response_size"
-        )
-
-    by_status = counts("status", "int")
-    by_ip, by_url = counts("ip"), counts("url")
-    return {
-        "product_views": counts("product_id", count="views"),
-        "status_distribution": by_status.select(
-            "status", status_label(F.col("status")).alias("label"), "requests"
+    def of(dimension: str, *measures: Column | str) -> DataFrame:
+        item = F.col("item").cast(logs.schema[dimension].dataType).alias(dimension)
+        return saved.where(F.col("dimension") == dimension).select(item, *measures)
+
+    def by_count(dimension: str) -> DataFrame:
+        return of(dimension, "requests")
+
+    # The total is one row, or none for an empty log; aggregating gives one in either case.
+    total = saved.where("dimension = 'total'").agg(
+        F.coalesce(F.sum("requests"), F.lit(0)).alias("requests"),
+        F.max("avg_response_size").alias("avg_response_size"),
+    )
+    reports = {
+        "product_views": ("product_id", lambda d: of(d, F.col("requests").alias("views"))),
+        "status_distribution": (
+            "status",
+            lambda d: of(d, status_label(F.col("item").cast("int")).alias("label"), "requests"),
         ),
-        "top_ips": by_ip.orderBy(F.desc("requests"), "ip").limit(TOP_IPS),
-        "avg_size_by_category": means("category"),
-        # A sum, so that an empty log gives a row of 0 here as well.
-        "total_requests": counts("total").agg(F.coalesce(F.sum("requests"), F.lit(0)).alias("requests")),
-        "method_distribution": counts("method"),
-        "top_urls": by_url.orderBy(F.desc("requests"), "url").limit(TOP_URLS),
-        "least_urls": by_url.orderBy("requests", "url").limit(LEAST_URLS),
-        "avg_response_size": means("total").agg(F.max("avg_response_size").alias("avg_response_size")),
+        "top_ips": ("ip", lambda d: by_count(d).orderBy(F.desc("requests"), d).limit(TOP_IPS)),
+        "avg_size_by_category": ("category", lambda d: of(d, "avg_response_size")),
+        "method_distribution": ("method", by_count),
+        "top_urls": ("url", lambda d: by_count(d).orderBy(F.desc("requests"), d).limit(TOP_URLS)),
+        "least_urls": ("url", lambda d: by_count(d).orderBy("requests", d).limit(LEAST_URLS)),
+    }
+    return {
+        "total_requests": total.select("requests"),
+        "avg_response_size": total.select("avg_response_size"),
+        **{name: report(d) for name, (d, report) in reports.items() if d in dimensions},
     }

@@ -6,7 +6,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 
 def append_batch(
-    sink_format: str = "parquet", path: str | None = None, **options: str
+    sink_format: str = "parquet", path: str | None = None, files: int | None = None, **options: str
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that appends each micro-batch to a store.
 
@@ -14,9 +14,15 @@ def append_batch(
     a batch that runs again after a failure leaves no duplicates. Any other
     format gets ``batch_id`` as a column and plain appends; there a replay may
     repeat rows, which ``latest_counts`` ignores.
+
+    A batch comes in as many partitions as the query has state, each a file of
+    its own. ``files`` gathers what has changed into fewer, by a shuffle of the
+    results only, so that the state work stays as wide as it was.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if files is not None:
+            batch = batch.repartition(files)
         if path is not None:
             target = f"{path.rstrip('/')}/batch_id={batch_id}"
             batch.write.format(sink_format).options(**options).mode("overwrite").save(target)

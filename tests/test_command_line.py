@@ -25,6 +25,20 @@ def test_report_on_screen(spark, log, capsys):
     main(["report", "--log", log])
     shown = capsys.readouterr().out
     assert "status_distribution" in shown and "Non trouvé" in shown
+    # Means show two decimals: (512 + 512 + 7 + 7) / 4 of the sizes that are numbers.
+    assert "|autre     |259.50           |" in shown
+
+
+@pytest.mark.parametrize("line_format, reports", [("current", 9), ("extended", 9), ("basic", 7)])
+def test_report_from_one_read(spark, log, tmp_path, line_format, reports):
+    out = tmp_path / "out"
+    main(["report", "--log", log, "--format", line_format, "--out", str(out), "--one-read", str(tmp_path / "counts")])
+    assert len(list(out.iterdir())) == reports
+    main(["report", "--log", log, "--format", line_format, "--out", str(tmp_path / "singly")])
+    for name in ("top_ips", "method_distribution"):
+        if (tmp_path / "singly" / name).exists():
+            rows = lambda root: sorted(spark.read.parquet(str(root / name)).collect())
+            assert rows(out) == rows(tmp_path / "singly")
 
 
 def test_alerts(spark, log, tmp_path):

@@ -142,6 +142,13 @@ def test_a_repeated_append_does_not_change_the_fold(spark):
     assert _rows(op.latest_counts(table, ["status"])) == [(200, 9), (404, 1)]
 
 
+def test_a_batch_in_fewer_files(spark, tmp_path):
+    out = tmp_path / "out"
+    append_batch(path=str(out), files=2)(spark.range(0, 1000, 1, 8), 5)
+    assert len(list((out / "batch_id=5").glob("part-*"))) == 2
+    assert spark.read.parquet(str(out)).count() == 1000
+
+
 def test_changelog_before_the_first_batch(spark, tmp_path):
     schema = spark.createDataFrame([], "status INT, requests BIGINT").schema
     changelog = read_changelog(spark, str(tmp_path / "none"), schema)
