@@ -1,8 +1,8 @@
 """Run a program from the command line, as ``spark-submit`` or ``python -m hitscope``.
 
     report  --format current --log PATH [--out DIR] [--one-read DIR]
-    alerts  --source kafka --option subscribe=weblogs ... --checkpoint DIR
-    status  --source kafka --option subscribe=logs ... --checkpoint DIR --out DIR
+    alerts  --source kafka --option subscribe=access-log ... --checkpoint DIR
+    status  --source kafka --option subscribe=access-log ... --checkpoint DIR --out DIR
 """
 
 import argparse

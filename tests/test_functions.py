@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -38,6 +39,34 @@ def test_request_time(spark):
         assert got == list(cases.values())
 
 
+def test_request_time_as_python_reads_it(spark):
+    rng = random.Random(3)
+    texts = []
+    for _ in range(5000):
+        moment = datetime(1990, 1, 1) + timedelta(seconds=rng.randrange(60 * 365 * 86400))
+        sign, minutes = rng.choice("+-"), rng.randrange(0, 14 * 60, 15)
+        text = moment.strftime("%d/%b/%Y:%H:%M:%S ") + f"{sign}{minutes // 60:02d}{minutes % 60:02d}"
+        if rng.random() < 0.2:
+            i = rng.randrange(len(text))
+            # Blanks and shortened fields, which Python lets pass and a log never has, are left out.
+            text = text[:i] + rng.choice("x99/:+") + text[i + 1:]
+        texts.append(text)
+
+    def python(text):
+        try:
+            moment = datetime.strptime(text, "%d/%b/%Y:%H:%M:%S %z")
+        except ValueError:
+            return None
+        # Spark knows no offsets beyond 18 hours, nor does any place on earth.
+        if abs(moment.utcoffset()) > timedelta(hours=18):
+            return None
+        return moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+    got = _map(spark, texts, "STRING", lambda c: fn.utc_wall_clock(fn.request_time(c)))
+    wrong = [(t, g, python(t)) for t, g in zip(texts, got) if g != python(t)]
+    assert not wrong, wrong
+
+
 def test_utc_wall_clock_past_2038(spark):
     row = spark.sql("SELECT timestamp'2050-01-01 00:00:00.123456Z' AS t").select(fn.utc_wall_clock(F.col("t")))
     assert row.first()[0] == datetime(2050, 1, 1, 0, 0, 0, 123456)
