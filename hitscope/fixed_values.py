@@ -7,9 +7,10 @@ formats and alert limits. The logic that uses them lives elsewhere.
 # --- fixed values -----------------------------------------------------------
 
 # Log line patterns, matched from the start of the line. Capture groups 1-6 are
-# address, time text, method, url, status, size. The parsers run an equivalent
-# form that cannot backtrack over long lines (operators/parsing.py); the tests
-# and the SQL checks hold that form against these.
+# address, time text, method, url, status, size. The parsers run these and the
+# stream patterns for time and url in an equivalent form that cannot backtrack
+# over long lines (operators/parsing.py); the tests and the SQL checks hold that
+# form against these.
 CURRENT_PATTERN = r'(\d+\.\d+\.\d+\.\d+) - - \[(.*?)\] "(.*?) (.*?) HTTP/.*?" (\d+) (\d+)'
 EXTENDED_PATTERN = r'(\d+\.\d+\.\d+\.\d+) - - \[(.*?)\] "(.*?) (.*?) HTTP.*?" (\d+) (\d+) ".*?" "(.*?)" (\d+)'
 BASIC_PATTERN = r'(\d+\.\d+\.\d+\.\d+) - - \[(.*?)\] "(.*?) (.*?) HTTP.*" (\d+) (\d+)'

@@ -15,8 +15,6 @@ from hitscope.fixed_values import (
     PRODUCT_CATEGORIES,
     STREAM_METHOD_PATTERN,
     STREAM_PROTOCOL_PATTERN,
-    STREAM_TIME_PATTERN,
-    STREAM_URL_PATTERN,
     TOKEN_IP,
     TOKEN_METHOD,
     TOKEN_SIZE,
@@ -54,13 +52,19 @@ PARSED_SCHEMA = StructType(LOG_SCHEMA.fields + [
 # later one either: both forms match the same lines with the same groups, but
 # this one reads a line once, where the plain one retries every combination of
 # delimiters on a long line that does not match.
-# (?d) lets "." stop at \n only, (not at \r or the Unicode line ends).
+# (?d) lets "." stop at \n only, not at \r or the Unicode line ends.
 _REQUEST = r'(\d+\.\d+\.\d+\.\d+) - - \[(?>(.*?)\] ")(?>(.*?) )'
 LINE_FORMATS = {
     "current": _REQUEST + r'(?>(.*?) HTTP/).*?" (\d+) (\d+)',
     "extended": _REQUEST + r'(?>(.*?) HTTP)(?>.*?" (\d+) (\d+) ")(?>.*?" ").*?" \d+',
     "basic": _REQUEST + r'(?>(.*?) HTTP).*" (\d+) (\d+)',
 }
+# The same for the two stream patterns that look for a start and then for an end:
+# where the first start in a line finds no end, no later one does. (?m) tries
+# each line of a message once, from its beginning.
+STREAM_TIME = r'(?m)^(?>.*?\[)(.*?)\]'
+STREAM_URL = r'(?m)^(?>.*?"\w+ )(.*?) HTTP'
+
 _FIELDS = ("ip", "time_text", "method", "url", "status_text", "size_text")
 
 
@@ -179,9 +183,9 @@ def parse_stream_regex(messages: DataFrame, keep: Sequence[str] = ()) -> DataFra
     return _split(messages, TOKEN_SIZE + 1, keep).select(
         *keep,
         _token(TOKEN_IP).alias("ip"),
-        F.regexp_extract("value", STREAM_TIME_PATTERN, 1).alias("timestamp_text"),
+        F.regexp_extract("value", STREAM_TIME, 1).alias("timestamp_text"),
         F.regexp_extract("value", STREAM_METHOD_PATTERN, 1).alias("method"),
-        F.regexp_extract("value", STREAM_URL_PATTERN, 1).alias("url"),
+        F.regexp_extract("value", STREAM_URL, 1).alias("url"),
         F.regexp_extract("value", STREAM_PROTOCOL_PATTERN, 0).alias("protocol"),
         _token(TOKEN_STATUS).try_cast("int").alias("status"),
         _token(TOKEN_SIZE).try_cast("int").alias("size"),

@@ -7,7 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from hitscope import operators as op
-from hitscope.fixed_values import BASIC_PATTERN, CURRENT_PATTERN, EXTENDED_PATTERN
+from hitscope.fixed_values import (
+    BASIC_PATTERN,
+    CURRENT_PATTERN,
+    EXTENDED_PATTERN,
+    STREAM_TIME_PATTERN,
+    STREAM_URL_PATTERN,
+)
 from hitscope.functions import utc_wall_clock
 from tests.lines import LINES
 
@@ -133,6 +139,29 @@ def _assert_same_as_plain(spark, line_format, texts):
     return len(expected)
 
 
+def test_stream_fields_same_as_the_plain_patterns(spark):
+    rng = random.Random(11)
+    pieces = [*_PIECES, '"GET ', '"GET /u HTTP', "\r\n", "[t]", "\n["]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(60_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    fields = op.parse_stream_regex(df, ["value"]).select(
+        "timestamp_text",
+        "url",
+        F.regexp_extract("value", STREAM_TIME_PATTERN, 1).alias("plain_time"),
+        F.regexp_extract("value", STREAM_URL_PATTERN, 1).alias("plain_url"),
+    )
+    assert fields.where("timestamp_text <> plain_time OR url <> plain_url").collect() == []
+    assert fields.where("url <> ''").count() > 1000
+    assert fields.where("timestamp_text <> ''").count() > 1000
+
+
+def test_a_hostile_message_takes_one_read(spark):
+    df = spark.createDataFrame([("[" * 500_000,), ('"a ' * 200_000,)], "value STRING")
+    start = time.perf_counter()
+    assert [(r.timestamp_text, r.url) for r in op.parse_stream_regex(df).collect()] == [("", "")] * 2
+    assert time.perf_counter() - start < 20
+
+
 @pytest.mark.parametrize("line_format", PATTERNS)
 def test_a_hostile_line_takes_one_read(spark, line_format):
     unit = '] "a b HTTP/1 HTTP/'
