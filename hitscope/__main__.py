@@ -42,9 +42,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--out", help="folder for the changelog, else the console")
-        stream.add_argument("--watermark", help="lateness to allow for, such as '10 minutes'")
         stream.add_argument("--state-partitions", type=int)
         stream.add_argument("--until-caught-up", action="store_true", help="stop at the end of the input")
+        if name == "alerts":
+            stream.add_argument("--watermark", help="lateness to allow for, such as '10 minutes'")
     return parser.parse_args(argv)
 
 

@@ -1,7 +1,7 @@
 """The report programs: every analysis of a log format, by name.
 
-Each entry is a lazy DataFrame; nothing runs until the caller shows, writes or
-collects it.
+Each entry is a lazy DataFrame that runs when the caller shows, writes or
+collects it. Only ``one_read_program`` starts with a job, to save its counts.
 """
 
 from datetime import datetime
