@@ -48,9 +48,12 @@ def top_products(
 ) -> DataFrame:
     """Most viewed products between two instants, both included (UTC unless given an offset)."""
     in_range = F.col("ts").between(as_utc_timestamp(start), as_utc_timestamp(end))
-    # Products first: the time is parsed for their lines only.
-    products = logs.where(F.col("product_id").isNotNull()).where(in_range)
-    return _most(_count_by(products, "product_id", "views"), n)
+    # Products first, so that the time is parsed for their lines only; inline
+    # keeps it from being parsed once for each end of the range.
+    products = logs.where(F.col("product_id").isNotNull()).select(
+        "product_id", F.inline(F.array(F.struct("ts")))
+    )
+    return _most(_count_by(products.where(in_range), "product_id", "views"), n)
 
 
 def status_distribution(logs: DataFrame, labels: Mapping[int, str] = STATUS_LABELS) -> DataFrame:

@@ -46,6 +46,12 @@ def test_time_is_parsed_once_and_after_the_filter(lines, alert):
         assert re.search(r"gettimestamp.*Filter.*split\(", plan, re.S)
 
 
+def test_a_time_range_parses_the_time_once_and_for_products_only(lines):
+    plan = _plan(op.top_products(op.parse_extended_log(lines)))
+    assert plan.count("gettimestamp(") == 1
+    assert re.search(r"gettimestamp.*Filter.*/products/", plan, re.S)
+
+
 def test_unused_columns_are_not_computed(lines):
     plan = _plan(op.status_distribution(op.parse_access_log(lines)))
     assert "gettimestamp" not in plan
