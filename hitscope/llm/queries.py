@@ -10,6 +10,7 @@ from hitscope.llm import (
     nearest,
     quality,
     substring_dedup,
+    suffix_dedup,
 )
 from hitscope.llm.common import table
 
@@ -33,6 +34,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
     digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
@@ -48,11 +54,13 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality": op5_quality,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL = {
     "op3_line_dedup": line_dedup.ORACLE_SQL,
+    "op8_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op9_substring_dedup": substring_dedup.ORACLE_SQL,
 }
