@@ -1,16 +1,47 @@
 """A corpus pipeline of the training-data operators; every stage reads what its predecessor kept."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitscope.llm import language_id, line_dedup
+from hitscope.llm import byte_bpe, dart_minhash, decontamination, language_id, line_dedup
 from hitscope.llm.common import shared_folder, table
 
 
-def _identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
     return language_id.keep_identified(docs)
 
 
-STAGES = [("language_id", _identified)]
+def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each without the lines that an earlier one holds; ``n_chars`` follows the text."""
+    kept = line_dedup.line_dedup(docs).select(docs.columns)
+    if "n_chars" not in docs.columns:
+        return kept
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-duplicates."""
+    return dart_minhash.keep_one(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each text, encoded and decoded again."""
+    return byte_bpe.bpe_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language_id", identified),
+    ("line_dedup", without_shared_lines),
+    ("near_dedup", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("byte_bpe", encoded),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

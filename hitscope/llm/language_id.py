@@ -246,24 +246,33 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
     def run(batches):
         names = np.array([*net.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            letters = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
-            best = np.full(batch.num_rows, len(net.languages))
-            score = np.zeros(batch.num_rows)
-            if net.languages:
-                for start, stop in row_slices(offsets, _BYTES):
-                    for low, high, sums in _long_rows(net, data, offsets, start, stop):
-                        best[low:high], score[low:high] = sums.argmax(axis=1), sums.max(axis=1)
-            best[~letters], score[~letters] = len(net.languages), 0.0
+            best, score = _judge(net, batch.column("text"), batch.column("has_letter"))
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))],
-                ["doc_id", "lang_pred", "score"],
+                [batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"]
             )
 
-    read = id_and_text(docs).withColumn("has_letter", F.col("text").rlike(r"\p{L}"))
+    read = id_and_text(docs).withColumn("has_letter", _has_letter())
     return read.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def _has_letter():
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
+def _judge(net: Network, texts: pa.Array, has_letter: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the language of each text (one beyond the last: undetermined), and its score."""
+    data, offsets = utf8(texts)
+    letters = has_letter.to_numpy(zero_copy_only=False).astype(bool)
+    best = np.full(len(texts), len(net.languages))
+    score = np.zeros(len(texts))
+    if net.languages:
+        for start, stop in row_slices(offsets, _BYTES):
+            for low, high, sums in _long_rows(net, data, offsets, start, stop):
+                best[low:high], score[low:high] = sums.argmax(axis=1), sums.max(axis=1)
+    best[~letters], score[~letters] = len(net.languages), 0.0
+    return best, np.clip(score, 0, 1)
+
+
 def _long_rows(net, data, offsets, start, stop):
     """Probabilities of a slice of rows; one very long row is summed part by part."""
     size = int(offsets[stop] - offsets[start])
@@ -283,3 +292,23 @@ def language_id(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every document, by a network trained on the labelled, not held out ones."""
     found = identify(docs, train(docs))
     return found.select("doc_id", (id_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
+    """*docs*, unchanged, without those whose language is undetermined or scores less than *min_score*.
+
+    If no language can be learnt from *docs*, all are kept that have a letter.
+    """
+    net = train(docs)
+    read = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            best, score = _judge(net, batch.column("text"), batch.column("has_letter"))
+            good = (score >= min_score) & (best < len(net.languages))
+            if not net.languages:
+                good = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
+            yield batch.select(["row"]).filter(pa.array(good))
+
+    read = read.withColumn("has_letter", _has_letter())
+    return read.mapInArrow(run, read.select("row").schema).select("row.*")

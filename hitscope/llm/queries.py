@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hitscope.llm import (
     byte_bpe,
     dart_minhash,
+    decontamination,
     language_id,
     line_dedup,
     nearest,
+    pii,
     quality,
     substring_dedup,
     suffix_dedup,
@@ -20,6 +22,10 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
@@ -39,6 +45,11 @@ def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a key for trials; a real one is a secret that the caller passes."""
+    return pii.pseudonymise_documents(table(spark, sf_dir, "documents"), b"key for trials only")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -56,10 +67,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_nearest": op1_nearest,
+    "op2_decontamination": op2_decontamination,
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality": op5_quality,
     "op6_dart_minhash": op6_dart_minhash,
+    "op7_pii": op7_pii,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
