@@ -73,3 +73,10 @@ def concatenated_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     before = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, lengths)
+
+
+def sliced(batches, column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most *limit* bytes of a column (a longer row stands alone)."""
+    for batch in batches:
+        for start, stop in row_slices(utf8(batch.column(column))[1], limit):
+            yield batch.slice(start, stop - start)

@@ -294,7 +294,7 @@ def language_id(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", (id_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.4) -> DataFrame:
     """*docs*, unchanged, without those whose language is undetermined or scores less than *min_score*.
 
     If no language can be learnt from *docs*, all are kept that have a letter.

@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hitscope.llm import rolling
-from hitscope.llm.common import id_and_text, utf8
+from hitscope.llm.common import id_and_text, sliced, utf8
 from hitscope.llm.word_windows import Words, _runs, words_of
 
 #: Words of a seed; a window of n words has n - SEED_WORDS + 1 of them.
 SEED_WORDS = 8
 #: Rows that a task gathers before it aggregates them.
-_GATHER = 1 << 21
+_GATHER = 1 << 20
 
 
 def _seeded_windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,42 +50,47 @@ def _seeded_windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _place_key(doc: np.ndarray, position: np.ndarray) -> np.ndarray:
-    """A key that spreads rows that need no company."""
-    return rolling.mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + position.astype(np.uint64)).view(np.int64)
+    """A negative key that spreads rows that need no company; those of seeds are not negative."""
+    spread = rolling.mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + position.astype(np.uint64))
+    return (spread | np.uint64(1 << 63)).view(np.int64)
 
 
-def _seed_rows(key: np.ndarray, doc: np.ndarray, position: np.ndarray) -> pa.RecordBatch:
-    """Seeds of a task: those it has once; those it has more often, marked known, and one witness of each."""
+def _seed_keys(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(1)).view(np.int64)
+
+
+def _seed_rows(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    """Seeds of a task: those it has once; a witness of those it has more often; and these by themselves, once a document."""
     _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
     often = counts[inverse] > 1
     witness = np.unique(key[often])
+    pairs = np.unique(np.stack([doc[often], key[often]]), axis=1)
     none = np.zeros(len(witness), np.int64)
-    keys = np.concatenate([key[~often].view(np.int64), _place_key(doc[often], position[often]), witness.view(np.int64)])
-    known = np.concatenate([np.zeros(np.count_nonzero(~often), bool), np.ones(np.count_nonzero(often), bool), none.astype(bool)])
-    missing = np.concatenate([np.zeros(len(key), bool), np.ones(len(witness), bool)])
+    bare = np.concatenate([np.zeros(np.count_nonzero(~often) + pairs.shape[1], bool), none == 0])
     return pa.record_batch(
         [
-            pa.array(keys),
-            pa.array(known),
-            pa.array(np.concatenate([doc[~often], doc[often], none]), mask=missing),
-            pa.array(np.concatenate([position[~often], position[often], none]).astype(np.int32)),
+            pa.array(np.concatenate([key[~often], _place_key(pairs[0], pairs[1]), witness])),
+            pa.array(np.concatenate([doc[~often], pairs[0], none]), mask=bare),
+            pa.array(
+                np.concatenate([np.zeros(np.count_nonzero(~often), np.int64), pairs[1], none]),
+                mask=np.concatenate([np.ones(np.count_nonzero(~often), bool), np.zeros(pairs.shape[1], bool), none == 0]),
+            ),
         ],
-        ["key", "known", "doc_id", "position"],
+        ["key", "doc_id", "seed"],
     )
 
 
 def repeated_seeds(docs: DataFrame, window: int) -> DataFrame:
-    """``doc_id, seeds``: word positions of the minimisers of a document that occur twice or more in the corpus."""
+    """``doc_id, seeds``: the keys of a document's minimisers that occur twice or more in the corpus."""
 
     def run(batches):
         parts, size = [], 0
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             words = words_of(*utf8(batch.column("text")))
             _, minimiser, value = _seeded_windows(words, window)
             minimiser, pick = np.unique(minimiser, return_index=True)
             row = np.searchsorted(words.row_ends, minimiser, "right")
-            ids = batch.column("doc_id").to_numpy()
-            parts.append((value[pick], ids[row], minimiser - words.row_starts[row]))
+            parts.append((_seed_keys(value[pick]), batch.column("doc_id").to_numpy()[row]))
             size += len(minimiser)
             if size > _GATHER:
                 yield _seed_rows(*map(np.concatenate, zip(*parts)))
@@ -93,16 +98,17 @@ def repeated_seeds(docs: DataFrame, window: int) -> DataFrame:
         if size:
             yield _seed_rows(*map(np.concatenate, zip(*parts)))
 
-    rows = docs.mapInArrow(run, "key long, known boolean, doc_id long, position int")
-    counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key", "known")))
+    rows = docs.mapInArrow(run, "key long, doc_id long, seed long")
+    counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
     return (
-        counted.filter("doc_id IS NOT NULL AND (known OR n > 1)")
+        counted.filter("doc_id IS NOT NULL AND (key < 0 OR n > 1)")
         .groupBy("doc_id")
-        .agg(F.collect_list("position").alias("seeds"))
+        .agg(F.collect_set(F.coalesce("seed", "key")).alias("seeds"))
     )
 
 
-_MATCH = "h1 long, h2 long, known boolean, doc_id long, start int, words int, ref_doc long, ref_start int"
+#: h1 and h2 are 95 bits of hash; a factor within a task has h2 = -1 and its length and source.
+_MATCH = "h1 long, h2 int, doc_id long, start int, factor struct<words:int,ref_doc:long,ref_start:int>"
 
 
 def _match_rows(h1, h2, doc, start, window: int) -> pa.RecordBatch:
@@ -113,23 +119,22 @@ def _match_rows(h1, h2, doc, start, window: int) -> pa.RecordBatch:
     new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     later = (doc != doc[first]) | (start != start[first])
-    f_doc, f_start, f_words, f_ref, f_ref_start = factors(
+    f_doc, f_start, *factor = factors(
         doc[later], start[later], np.full(np.count_nonzero(later), window), doc[first][later], start[first][later], window
     )
-    zero = np.zeros(np.count_nonzero(new), np.int64)
-    both = lambda a, b, kind=np.int64: pa.array(np.concatenate([a, b]).astype(kind))
+    kinds = [("words", np.int32), ("ref_doc", np.int64), ("ref_start", np.int32)]
+    n, m = np.count_nonzero(new), len(f_doc)
+    columns = [pa.array(np.concatenate([np.zeros(n, np.int64), x]).astype(k)) for x, (_, k) in zip(factor, kinds)]
+    both = lambda a, b, kind: pa.array(np.concatenate([a, b]).astype(kind))
     return pa.record_batch(
         [
-            both(h1[new].view(np.int64), _place_key(f_doc, f_start)),
-            both(h2[new].view(np.int64), f_doc * 0),
-            both(zero, f_doc * 0 + 1, bool),
-            both(doc[new], f_doc),
+            both(h1[new].view(np.int64), _place_key(f_doc, f_start), np.int64),
+            both((h2[new] >> np.uint64(33)).view(np.int64), np.full(m, -1), np.int32),
+            both(doc[new], f_doc, np.int64),
             both(start[new], f_start, np.int32),
-            both(zero + window, f_words, np.int32),
-            both(zero, f_ref),
-            both(zero, f_ref_start, np.int32),
+            pa.StructArray.from_arrays(columns, [k for k, _ in kinds], mask=pa.array(np.arange(n + m) < n)),
         ],
-        ["h1", "h2", "known", "doc_id", "start", "words", "ref_doc", "ref_start"],
+        ["h1", "h2", "doc_id", "start", "factor"],
     )
 
 
@@ -160,19 +165,19 @@ def duplicate_factors(docs: DataFrame, window: int = 20) -> DataFrame:
 
     def run(batches):
         parts, size = [], 0
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             words = words_of(*utf8(batch.column("text")), seeds=(1, 2))
-            at, minimiser, _ = _seeded_windows(words, window)
+            at, _, value = _seeded_windows(words, window)
             seeds = batch.column("seeds")
             seed_row = np.repeat(np.arange(batch.num_rows), seeds.value_lengths().to_numpy())
-            wanted = np.zeros(len(words.starts) + 1, bool)
-            wanted[seeds.flatten().to_numpy() + words.row_starts[seed_row]] = True
-            pick = wanted[minimiser]
+            own_row = np.searchsorted(words.row_ends, at, "right")
+            in_row = lambda key, row: rolling.mix(key.view(np.uint64) ^ rolling.mix(row.astype(np.uint64)))
+            pick = np.isin(in_row(_seed_keys(value), own_row), in_row(seeds.flatten().to_numpy(), seed_row))
             at = at[pick]
             values = []
             for hashes, seed in zip(words.hashes, (3, 4)):
-                starts, value = _runs(words, window, hashes, seed)
-                values.append(value[np.searchsorted(starts, at)])
+                starts, own = _runs(words, window, hashes, seed)
+                values.append(own[np.searchsorted(starts, at)])
             row = np.searchsorted(words.row_ends, at, "right")
             parts.append((*values, batch.column("doc_id").to_numpy()[row], at - words.row_starts[row]))
             size += len(at)
@@ -183,21 +188,13 @@ def duplicate_factors(docs: DataFrame, window: int = 20) -> DataFrame:
             yield _match_rows(*map(np.concatenate, zip(*parts)), window)
 
     windows = docs.join(repeated_seeds(docs, window), "doc_id").mapInArrow(run, _MATCH)
-    first = F.min(F.struct("doc_id", "start")).over(Window.partitionBy("h1", "h2", "known"))
-    matches = windows.withColumn("first", first).filter("known OR doc_id != first.doc_id OR start != first.start")
-    reference = lambda known, found: F.when(F.col("known"), F.col(known)).otherwise(F.col(found))
-    return (
-        matches.select(
-            "doc_id",
-            F.struct(
-                "start",
-                "words",
-                reference("ref_doc", "first.doc_id").alias("ref_doc"),
-                reference("ref_start", "first.start").alias("ref_start"),
-            ).alias("match"),
-        )
-        .groupBy("doc_id")
-        .agg(F.collect_list("match").alias("factors"))
+    in_order = Window.partitionBy("h1", "h2").orderBy("doc_id", "start")
+    firsts = {"first_doc": F.first("doc_id").over(in_order), "first_start": F.first("start").over(in_order)}
+    matches = windows.withColumns(firsts).filter("h2 = -1 OR doc_id != first_doc OR start != first_start")
+    source = F.struct(F.lit(window).alias("words"), F.col("first_doc").alias("ref_doc"), F.col("first_start").alias("ref_start"))
+    match = matches.select("doc_id", "start", F.coalesce("factor", source).alias("f"))
+    return match.groupBy("doc_id").agg(
+        F.collect_list(F.struct("start", "f.words", "f.ref_doc", "f.ref_start")).alias("factors")
     )
 
 
@@ -213,7 +210,6 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
     read = id_and_text(docs)
     named = read.filter("doc_id IS NOT NULL")
     found = named.join(duplicate_factors(named, window), "doc_id", "left")
-    unnamed = read.filter("doc_id IS NULL").join(found.select("factors").limit(0), F.lit(False), "left")
     schema = (
         "doc_id long, n_words long, n_removed long, "
         "factors array<struct<start:int,words:int,ref_doc:long,ref_start:int>>, kept string"
@@ -221,7 +217,7 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
 
     def run(batches):
         kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             data, offsets = utf8(batch.column("text"))
             words = words_of(data, offsets, seeds=())
             raw = data.tobytes()
@@ -260,7 +256,8 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "factors", "kept"],
             )
 
-    return found.select("doc_id", "text", "factors").union(unnamed.select("doc_id", "text", "factors")).mapInArrow(run, schema)
+    unnamed = read.filter("doc_id IS NULL").withColumn("factors", F.lit(None).cast(found.schema["factors"].dataType))
+    return found.mapInArrow(run, schema).union(unnamed.mapInArrow(run, schema))
 
 
 ORACLE_SQL = r"""
