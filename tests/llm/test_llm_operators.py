@@ -1,0 +1,215 @@
+"""The training-data operators against brute force on small tables with awkward rows."""
+
+import base64
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from hitscope.llm import (
+    byte_bpe, dart_minhash, decontamination, language_id, line_dedup, nearest, pii, quality, substring_dedup, suffix_dedup,
+)
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, bands int"
+PASSAGE = " ".join(f"w{i * 7919 % 1000}" for i in range(90))
+LINE = "A line that several documents hold."
+
+
+def rows():
+    texts = [
+        None, "", " \n\t", f"{LINE}\nown one\n  {LINE.upper()} ", f"x {PASSAGE} y\n{LINE}", f"{PASSAGE} tail {PASSAGE}",
+        f"x {PASSAGE} y\n{LINE}", "ab " * 900, "é" * 450 + "\n" + "é" * 450, "short\nshort", "one two three", PASSAGE + " z",
+    ]
+    out = [(i, t, "en", "src0", 1, "clash", 2) for i, t in enumerate(texts)]
+    return [*out, out[4], (None, PASSAGE, None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def sha(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+def named_texts():
+    return {r[0]: r[1] or "" for r in rows() if r[0] is not None}
+
+
+def test_line_dedup(docs, empty):
+    texts = named_texts()
+    key = lambda line: "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip("\t\n\x0b\x0c\r "))
+    holders: dict[str, set] = {}
+    for i, t in texts.items():
+        for line in t.split("\n"):
+            holders.setdefault(key(line), set()).add(i)
+    for r in line_dedup.line_dedup(docs).filter("doc_id IS NOT NULL").collect():
+        lines = texts[r["doc_id"]].split("\n")
+        kept = [x for x in lines if len(key(x)) < 10 or len(holders[key(x)]) < 2 or min(holders[key(x)]) == r["doc_id"]]
+        assert (r["n_lines"], r["n_dropped"], r["text"]) == (len(lines), len(lines) - len(kept), "\n".join(kept))
+        assert r["row"] == "clash"
+    assert line_dedup.line_dedup(docs).count() == docs.count()
+    assert line_dedup.line_dedup(empty).count() == 0
+
+
+def test_byte_bpe(docs, empty):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = named_texts()
+    for r in byte_bpe.bpe_digests(docs, path, public_tokenizers.PATTERN).filter("doc_id IS NOT NULL").collect():
+        ids = own.encode_ordinary(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), sha(np.array(ids, "<u4").tobytes()))
+        assert r["decoded_sha256"] == sha(texts[r["doc_id"]].encode())
+    assert byte_bpe.bpe_digests(empty, path, public_tokenizers.PATTERN).count() == 0
+    vocab = byte_bpe.vocabulary(path, public_tokenizers.PATTERN)
+    for text in ["a" * 3000, "  a \n b", "\x1c x\x1c y", "日本語 🎉🎉 it's", " ", "a　 b \u0085"]:
+        assert np.frombuffer(vocab.encode([text])[0], "<u4").tolist() == own.encode_ordinary(text)
+
+
+def test_substring_dedup(docs, empty):
+    texts, first, gone = named_texts(), {}, {}
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t) for i, t in texts.items()}
+    for i in sorted(words):
+        gone[i] = [False] * len(words[i])
+        for s in range(len(words[i]) - 19):
+            if first.setdefault(tuple(words[i][s : s + 20]), (i, s)) != (i, s):
+                gone[i][s : s + 20] = [True] * 20
+    for r in substring_dedup.substring_dedup(docs).filter("doc_id IS NOT NULL").collect():
+        i = r["doc_id"]
+        assert r["kept"] == " ".join(w for w, g in zip(words[i], gone[i]) if not g)
+        assert (r["n_words"], r["n_removed"]) == (len(words[i]), sum(gone[i]))
+        for f in r["factors"]:
+            assert words[i][f["start"]:][: f["words"]] == words[f["ref_doc"]][f["ref_start"]:][: f["words"]]
+    assert substring_dedup.substring_dedup(docs).count() == docs.count()
+    assert substring_dedup.substring_dedup(empty).count() == 0
+
+
+@pytest.mark.parametrize("hot", [2048, 1])
+def test_suffix_dedup(docs, empty, hot):
+    texts = {i: t.encode() for i, t in named_texts().items()}
+    count: dict[bytes, int] = {}
+    for t in texts.values():
+        for s in range(len(t) - 399):
+            count[t[s : s + 400]] = count.get(t[s : s + 400], 0) + 1
+    for r in suffix_dedup.suffix_dedup(docs, hot=hot).filter("doc_id IS NOT NULL").collect():
+        t = texts[r["doc_id"]]
+        gone = np.zeros(len(t) + 1, bool)
+        for s in range(len(t) - 399):
+            if count[t[s : s + 400]] > 1:
+                gone[s : s + 400] = True
+        assert bytes(r["kept"]) == bytes(b for b, g in zip(t, gone) if not g)
+        assert r["n_spans"] == int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        assert (r["n_bytes"], r["n_removed"]) == (len(t), int(gone.sum()))
+    assert suffix_dedup.suffix_dedup(empty).count() == 0
+
+
+def test_near_duplicates(spark, docs, empty):
+    got = {r["doc_id"]: r["class_id"] for r in dart_minhash.near_duplicates(docs).collect()}
+    assert got[0] == got[1] == got[2] == 0
+    assert got[4] == got[6] == 4
+    assert got[11] != got[10] and got[None] is None
+    assert dart_minhash.near_duplicates(docs).count() == docs.count()
+    assert dart_minhash.keep_one(docs).filter("doc_id IN (4, 6)").count() == 1
+    assert dart_minhash.near_duplicates(empty).count() == 0
+
+
+def test_signatures_estimate_the_weighted_similarity():
+    rng = np.random.default_rng(1)
+    element = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    a = rng.uniform(0.1, 4, 400)
+    b = a * rng.uniform(0.5, 1.5, 400)
+    signs = dart_minhash.signatures(np.repeat([0, 1], 400), np.tile(element, 2), np.concatenate([a, b]), 2, 2000)
+    assert abs((signs[0] == signs[1]).mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.05
+
+
+def test_decontamination(spark, empty):
+    item = "Then the baker Alice sold 12 loaves weighing 3 kg to the old miller for 12 coins on monday"
+    other = item.replace("12", "45").replace("Alice", "Bruno")
+    uneven = item.replace("12 loaves", "45 loaves")
+    benchmark = spark.createDataFrame([(1, item), (2, None), (3, ""), (None, item)], "item_id long, text string")
+    texts = [f"start here, {item} and more", f"start here, {other} and more", f"start here, {uneven} and more", None, "", item]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["kind"] for r in decontamination.contaminations(docs, benchmark).collect()}
+    assert found == {0: "verbatim", 1: "template", 5: "verbatim"}
+    assert {r["doc_id"] for r in decontamination.drop_contaminated(docs, benchmark).collect()} == {2, 3, 4}
+    assert decontamination.contaminations(empty, benchmark).count() == 0
+
+
+def test_pseudonyms(docs, empty):
+    key = b"k"
+    assert sorted(pii.permute(i, 1000, key, b"t") for i in range(1000)) == list(range(1000))
+    values = {
+        "email": "of.20@mail4.example.com", "ip": "76.133.12.197", "date": "2024-02-29", "ssn": "123-45-6789",
+        "phone": "+1 (052) 555-0934", "iban": "DE89 3704 0044 0532 0130 00", "card": "4111 1111 1111 1111",
+    }
+    for kind, value in values.items():
+        new = pii.pseudonym(kind, value, key)
+        assert new != value and pii.pseudonym(kind, new, key, inverse=True) == value
+        text, found = pii.pseudonymise(f"see {value}, twice {value}", key)
+        assert text == f"see {new}, twice {new}" and [f[0] for f in found] == [kind] * 2
+    assert pii.luhn("411111111111111") == 1
+    assert pii.pseudonymise("version 1.2.3.999 and 2024-02-31", key)[1] == []
+    assert pii.pseudonymise_documents(docs, key).count() == docs.count()
+    assert pii.pseudonymise_documents(empty, key).count() == 0
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(600, 16))
+    vectors[100:160] = vectors[100]
+    table = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    table += [(1001, None), (1002, [0.0] * 16), (1003, [float("nan")] * 16), (1004, [1.0]), (None, [1.0] * 16)]
+    frame = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    got: dict[int, list] = {}
+    for r in nearest.nearest(frame, F.col("vec_id") % 20 == 0, k=10).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    hits = 0
+    for q in range(0, 600, 20):
+        scores = vectors @ vectors[q]
+        best = [int(i) for i in np.lexsort((np.arange(600), -scores.round(12))) if i != q][:10]
+        hits += len({i for i, _ in got[q]} & set(best))
+        assert len(got[q]) == 10 and all(abs(s - scores[i]) < 1e-9 for i, s in got[q])
+    assert hits >= 0.9 * 300
+    equal = [i for i, _ in got[100] if 100 <= i < 160]
+    assert equal == list(range(101, 101 + len(equal)))  # ties go to the smaller ids
+    assert nearest.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_language_id(spark, empty):
+    rng = np.random.default_rng(3)
+    vocabulary = {"aa": ["thon", "the", "ing", "wh"], "bb": ["eau", "oiè", "aux", "ré"]}
+    texts = [
+        (i, " ".join(rng.choice(vocabulary["ab"[i % 2] * 2], 40)), "ab"[i % 2] * 2) for i in range(200)
+    ] + [(500, None, "aa"), (501, "12 !", "bb"), (502, "", None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language_id.language_id(docs).collect()}
+    assert np.mean([got[i]["lang_pred"] == lang for i, _, lang in texts[:200]]) > 0.97
+    assert all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, _, _ in texts)
+    assert {got[i]["lang_pred"] for i in (500, 501, 502)} == {"und"} and got[500]["score"] == 0
+    assert language_id.language_id(empty).count() == 0
+
+
+def test_quality(spark, docs, empty):
+    texts = [(i, ("GOOD words flow on here. " if i % 2 else "BAD!! BUY!! NOW!! ") * (1 + i % 7)) for i in range(300)]
+    texts += [(900, None), (901, "")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(300)] + [(None, 1, 0), (7, None, 0)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality.score_quality(frame, labels).collect()}
+    assert all(got[i]["predicted"] == i % 2 for i in range(300))
+    assert got[900]["score"] == got[901]["score"] and 0 <= got[900]["score"] <= 1
+    none = quality.score_quality(frame, labels.limit(0)).collect()
+    assert {r["score"] for r in none} == {0.5}
+    assert quality.score_quality(empty, labels).count() == 0
