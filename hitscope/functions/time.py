@@ -5,7 +5,7 @@ from pyspark.sql import Column, functions as F
 # Any offset the text lacks is supplied by appending one; where the text has its
 # own, that one is read first and the appended one is skipped as a literal.
 _DEFAULT_OFFSET = " +0000"
-_REQUEST_TIME_FORM = f"dd/MMM/yyyy:HH:mm:ss[ XXX][ Z]['{_DEFAULT_OFFSET}']"
+_REQUEST_TIME_FORM = f"d/MMM/yyyy:H:m:s[ XXX][ Z]['{_DEFAULT_OFFSET}']"
 
 
 def request_time(text: Column) -> Column:
