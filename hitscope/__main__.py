@@ -20,7 +20,7 @@ from hitscope.operators import (
 )
 from hitscope.plans import basic_program, current_program, extended_program, one_read_program
 from hitscope.sources import read_log_lines, read_log_stream
-from hitscope.streaming import append_batch, await_all, start_alerts, start_query, stream_session
+from hitscope.streaming import append_batch, await_all, print_batch, start_alerts, start_query, stream_session
 
 _PROGRAMS = {"current": current_program, "extended": extended_program, "basic": basic_program}
 _PARSERS = {"current": parse_access_log, "extended": parse_extended_log, "basic": parse_basic_log}
@@ -33,7 +33,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     report = commands.add_parser("report", help="all analyses of a log")
     report.add_argument("--log", required=True, nargs="+", help="files, folders or globs")
     report.add_argument("--format", choices=_PROGRAMS, default="current")
-    report.add_argument("--out", help="write one parquet table per analysis here instead of showing 20 rows")
+    report.add_argument("--out", help="write one parquet table per analysis here instead of printing all rows")
+    report.add_argument("--overwrite", action="store_true", help="replace what --out and --one-read hold")
     report.add_argument("--one-read", metavar="DIR", help="counting analyses only, from one read; keep the counts here")
 
     for name, text in (("alerts", "the three alerts on a stream"), ("status", "running count per status")):
@@ -41,7 +42,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         stream.add_argument("--source", default="kafka")
         stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
         stream.add_argument("--checkpoint", required=True)
-        stream.add_argument("--out", help="folder for the changelog, else the console")
+        stream.add_argument("--out", help="folder for the changelog, else all rows are printed")
+        stream.add_argument("--sink-format", default="parquet", help="format of --out, or of a store without a path")
+        stream.add_argument("--sink-option", action="append", default=[], metavar="KEY=VALUE", help="of that format")
+        stream.add_argument("--files", type=int, help="files for each micro-batch in --out")
+        stream.add_argument("--trigger", metavar="INTERVAL", help="time between micro-batches, such as '1 minute'")
         stream.add_argument("--state-partitions", type=int)
         stream.add_argument("--until-caught-up", action="store_true", help="stop at the end of the input")
         if name == "alerts":
@@ -56,26 +61,33 @@ def _for_display(result: DataFrame) -> DataFrame:
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
     lines = read_log_lines(spark, args.log)
+    mode = "overwrite" if args.overwrite else "errorifexists"
     if args.one_read:
-        reports = one_read_program(_PARSERS[args.format](lines), args.one_read)
+        reports = one_read_program(_PARSERS[args.format](lines), args.one_read, mode)
     else:
         reports = _PROGRAMS[args.format](lines)
     for name, result in reports.items():
         if args.out:
-            result.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+            result.write.mode(mode).parquet(f"{args.out.rstrip('/')}/{name}")
         else:
-            print(name)
-            _for_display(result).show(truncate=False)
+            shown = _for_display(result)
+            print(name, *shown.columns, sep="\t")
+            for row in shown.toLocalIterator():
+                print(*row, sep="\t")
 
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    options = dict(option.split("=", 1) for option in args.option)
+    options, sink_options = (dict(o.split("=", 1) for o in given) for given in (args.option, args.sink_option))
     session = stream_session(spark, args.state_partitions)
     messages = read_log_stream(session, args.source, options)
-    trigger = {"availableNow": True} if args.until_caught_up else None
+    trigger = {"processingTime": args.trigger} if args.trigger else None
+    if args.until_caught_up:
+        trigger = {"availableNow": True}
 
     def sink(name: str):
-        return append_batch(path=f"{args.out.rstrip('/')}/{name}") if args.out else "console"
+        if args.out:
+            return append_batch(args.sink_format, f"{args.out.rstrip('/')}/{name}", args.files, **sink_options)
+        return append_batch(args.sink_format, files=args.files, **sink_options) if sink_options else print_batch
 
     if args.command == "alerts":
         queries = start_alerts(

@@ -111,10 +111,11 @@ def avg_response_size(logs: DataFrame) -> DataFrame:
 def error_urls(logs: DataFrame, n: int = ERROR_URLS) -> DataFrame:
     """First ``n`` requests that failed, with status and category.
 
-    Rows that tie on the order are equal in the result, so it is fixed.
+    A status of a parsed line is NULL only where it has more digits than a BIGINT,
+    so it counts as failed. Rows that tie on the order are equal in the result, so it is fixed.
     """
     return (
-        logs.where(F.col("status") >= FIRST_ERROR_STATUS)
+        logs.where(F.coalesce(F.col("status") >= FIRST_ERROR_STATUS, F.lit(True)))
         .orderBy(F.asc_nulls_last("ts"), "url", "status")
         .limit(n)
         .select("url", "status", "category")

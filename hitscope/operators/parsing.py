@@ -40,7 +40,8 @@ LOG_SCHEMA = StructType([
 ])
 
 #: Columns of ``parse_access_log`` and ``parse_extended_log``.
-PARSED_SCHEMA = StructType(LOG_SCHEMA.fields + [
+PARSED_SCHEMA = StructType([f for f in LOG_SCHEMA.fields if f.name != "status"] + [
+    StructField("status", LongType()),
     StructField("response_size", LongType()),
     StructField("product_id", StringType()),
     StructField("category", StringType()),
@@ -94,7 +95,7 @@ def _parse(
         request_time(F.col("time_text")).alias("ts"),
         "method",
         "url",
-        F.col("status_text").try_cast("int").alias("status"),
+        F.col("status_text").try_cast("bigint").alias("status"),
         F.col("size_text").try_cast("bigint").alias("response_size"),
         product_id.alias("product_id"),
         category.alias("category"),
@@ -125,7 +126,7 @@ def parse_basic_log(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.col("time_text").alias("timestamp_text"),
         "method",
         "url",
-        F.col("status_text").try_cast("int").alias("status"),
+        F.col("status_text").try_cast("bigint").alias("status"),
         F.col("size_text").try_cast("bigint").alias("response_size"),
     )
 

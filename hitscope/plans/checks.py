@@ -52,7 +52,7 @@ def _parsed(pattern: str, product_id: str, category: str) -> str:
     WITH lines AS ({line_sql()}),
     fields AS (
       SELECT event_id, {group(1)} AS ip, {group(2)} AS timestamp_text, {group(3)} AS method, {group(4)} AS url,
-        TRY_CAST({group(5)} AS INTEGER) AS status, TRY_CAST({group(6)} AS BIGINT) AS response_size
+        TRY_CAST({group(5)} AS BIGINT) AS status, TRY_CAST({group(6)} AS BIGINT) AS response_size
       FROM lines WHERE regexp_matches(value, '^{pattern}')),
     logs AS (
       SELECT *, {_utc('timestamp_text')} AS ts, {product_id} AS product_id, {category} AS category FROM fields)
@@ -128,6 +128,15 @@ _ROLLUP = f"{_CURRENT} " + " UNION ALL ".join(
     ]
 ) + f" UNION ALL SELECT 'total', NULL, count(*), {_SIZE_MEAN} FROM logs"
 
+_TOGETHER = " UNION ALL ".join(
+    f"SELECT '{alert}' AS alert, window_start, window_end, CAST({item} AS VARCHAR) AS item, requests FROM ({sql})"
+    for alert, item, sql in [
+        ("error_spikes", "status", _windows(True, "status", "5 minutes", "status IN (404, 500)")),
+        ("trending_products", "url", _TRENDING),
+        ("suspicious_ips", "ip", _SUSPICIOUS),
+    ]
+)
+
 ORACLE_SQL: dict[str, str] = {
     "scan_log_lines": f"SELECT value FROM ({line_sql()})",
     "kv_text_roundtrip": """
@@ -172,7 +181,17 @@ ORACLE_SQL: dict[str, str] = {
     "error_urls": f"""{_CURRENT} SELECT url, status, category FROM logs WHERE status >= 400
         ORDER BY ts NULLS LAST, url, status, event_id LIMIT 10""",
     "traffic_rollup": _ROLLUP,
-    "one_read_top_urls": _MOST_URLS,
+    "one_read_top_urls": _count(_CURRENT, "url", rest="ORDER BY requests DESC, url LIMIT 5"),
+    "one_read_product_views": _count(_CURRENT, "product_id", "views", "product_id IS NOT NULL"),
+    "one_read_status_distribution":
+        f"{_CURRENT} SELECT status, {_LABEL} AS label, count(*) AS requests FROM logs GROUP BY status",
+    "one_read_top_ips": _count(_CURRENT, "ip", rest="ORDER BY requests DESC, ip LIMIT 10"),
+    "one_read_avg_size_by_category":
+        f"{_CURRENT} SELECT category, {_SIZE_MEAN} AS avg_response_size FROM logs GROUP BY category",
+    "one_read_total_requests": f"{_CURRENT} SELECT count(*) AS requests FROM logs",
+    "one_read_avg_response_size": f"{_CURRENT} SELECT {_SIZE_MEAN} AS avg_response_size FROM logs",
+    "one_read_method_distribution": _count(_CURRENT, "method"),
+    "one_read_least_urls": _count(_CURRENT, "url", rest="ORDER BY requests, url LIMIT 3"),
     "status_counts": _STATUS_COUNTS,
     "error_spikes": _SPIKES,
     "trending_products": _TRENDING,
@@ -181,4 +200,5 @@ ORACLE_SQL: dict[str, str] = {
     "stream_error_spikes": _SPIKES,
     "stream_trending_products": _TRENDING,
     "stream_suspicious_ips": _SUSPICIOUS,
+    "stream_alerts_together": _TOGETHER,
 }

@@ -85,7 +85,7 @@ def basic_program(lines: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def one_read_program(logs: DataFrame, path: str) -> dict[str, DataFrame]:
+def one_read_program(logs: DataFrame, path: str, mode: str = "errorifexists") -> dict[str, DataFrame]:
     """The counting reports from a single read of a parsed log, of any format.
 
     Writes ``traffic_rollup`` to ``path``, one folder per dimension, and answers
@@ -95,7 +95,7 @@ def one_read_program(logs: DataFrame, path: str) -> dict[str, DataFrame]:
     """
     dimensions = [d for d in ROLLUP_DIMENSIONS if d in logs.columns]
     rollup = traffic_rollup(logs, dimensions)
-    rollup.write.partitionBy("dimension").mode("overwrite").parquet(path)
+    rollup.write.partitionBy("dimension").mode(mode).parquet(path)
     saved = logs.sparkSession.read.schema(rollup.schema).parquet(path)
 
     def of(dimension: str, *measures: Column | str) -> DataFrame:
@@ -114,7 +114,7 @@ def one_read_program(logs: DataFrame, path: str) -> dict[str, DataFrame]:
         "product_views": ("product_id", lambda d: of(d, F.col("requests").alias("views"))),
         "status_distribution": (
             "status",
-            lambda d: of(d, status_label(F.col("item").cast("int")).alias("label"), "requests"),
+            lambda d: of(d, status_label(F.col("item").cast("bigint")).alias("label"), "requests"),
         ),
         "top_ips": ("ip", lambda d: by_count(d).orderBy(F.desc("requests"), d).limit(TOP_IPS)),
         "avg_size_by_category": ("category", lambda d: of(d, "avg_response_size")),

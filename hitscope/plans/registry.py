@@ -14,12 +14,20 @@ from hitscope.functions import two_decimals, utc_wall_clock
 from hitscope.plans.inputs import events_path, log_line_stream, log_lines
 from hitscope.plans.programs import one_read_program
 from hitscope.plans.shared import shared_path
-from hitscope.sources import decode_messages, read_kv_text, read_log_lines, sorted_pairs, write_kv_text
+from hitscope.sources import (
+    decode_messages,
+    read_kv_text,
+    read_log_lines,
+    read_log_stream,
+    sorted_pairs,
+    write_kv_text,
+)
 from hitscope.streaming import (
     ALERT_KEYS,
     append_batch,
     await_all,
     read_changelog,
+    start_alerts,
     start_query,
     stream_session,
 )
@@ -61,12 +69,34 @@ def _streamed(
             trigger={"availableNow": True},
         )
         await_all([running])
-        changelog = read_changelog(spark, f"{root}/changelog", results.schema)
+        changelog = read_changelog(spark, f"{root}/changelog", results.schema, missing_ok=True)
         return _in_utc(op.latest_counts(changelog, keys))
 
     return run
 
 
+def _alerts_together(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """The three alerts in one session on a text log that arrives in *batches* micro-batches, folded."""
+    root = shared_path(spark, "alerts")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = log_lines(spark, sf_dir, burst=True)
+    lines.repartition(batches * width, "event_id").select("value").write.text(f"{root}/log")
+    session = stream_session(spark)
+    arriving = read_log_stream(session, "text", {"path": f"{root}/log", "maxFilesPerTrigger": str(width)})
+    logs = op.parse_stream_tokens(arriving)
+    sink_of = lambda name: append_batch(path=f"{root}/{name}")
+    await_all(start_alerts(logs, f"{root}/checkpoints", sink_of, trigger={"availableNow": True}))
+
+    def folded(name: str) -> DataFrame:
+        changelog = read_changelog(spark, f"{root}/{name}", getattr(op, name)(logs).schema, missing_ok=True)
+        *window, item = ALERT_KEYS[name]
+        latest = op.latest_counts(changelog, ALERT_KEYS[name])
+        return latest.select(F.lit(name).alias("alert"), *window, F.col(item).cast("string").alias("item"), "requests")
+
+    spikes, trending, suspicious = map(folded, ALERT_KEYS)
+    return _in_utc(spikes.union(trending).union(suspicious))
+
+
 def _scan_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "log")
     log_lines(spark, sf_dir).select("value").write.text(path)
@@ -133,6 +163,14 @@ QUERIES: dict[str, Query] = {
     # All counting reports from one read.
     "traffic_rollup": _analysed(op.traffic_rollup),
     "one_read_top_urls": _one_read("top_urls"),
+    "one_read_product_views": _one_read("product_views"),
+    "one_read_status_distribution": _one_read("status_distribution"),
+    "one_read_top_ips": _one_read("top_ips"),
+    "one_read_avg_size_by_category": _one_read("avg_size_by_category"),
+    "one_read_total_requests": _one_read("total_requests"),
+    "one_read_avg_response_size": _one_read("avg_response_size"),
+    "one_read_method_distribution": _one_read("method_distribution"),
+    "one_read_least_urls": _one_read("least_urls"),
     # Alerts on a table.
     "status_counts": _analysed(op.status_counts, op.parse_stream_regex),
     "error_spikes": _alert(op.error_spikes, burst=False),
@@ -143,4 +181,5 @@ QUERIES: dict[str, Query] = {
     "stream_error_spikes": _streamed(op.error_spikes, ALERT_KEYS["error_spikes"], False),
     "stream_trending_products": _streamed(op.trending_products, ALERT_KEYS["trending_products"], True),
     "stream_suspicious_ips": _streamed(op.suspicious_ips, ALERT_KEYS["suspicious_ips"], True),
+    "stream_alerts_together": _alerts_together,
 }

@@ -18,11 +18,14 @@ def write_kv_text(pairs: DataFrame, path: str, mode: str = "errorifexists") -> N
     """Write columns ``k`` and ``v``.
 
     As in Hadoop, a NULL value leaves the key alone, a NULL key the value alone,
-    and a pair of NULLs nothing. A value must not hold a line feed.
+    and a pair of NULLs nothing. A key or value with a line feed, which could not
+    be read back, fails the write.
     """
+    line = F.concat_ws(_SEPARATOR, F.col("k").cast("string"), "v")
+    broken = F.raise_error(F.lit("a key or value holds a line feed, which ends a record of this format"))
     (
         pairs.where(F.col("k").isNotNull() | F.col("v").isNotNull())
-        .select(F.concat_ws(_SEPARATOR, F.col("k").cast("string"), "v").alias("value"))
+        .select(F.when(line.contains(_LINE_END), broken).otherwise(line).alias("value"))
         .write.mode(mode)
         .option("lineSep", _LINE_END)
         .text(path)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from hitscope.operators import error_spikes, suspicious_ips, trending_products
+from hitscope.streaming.sinks import print_batch
 
 Sink = str | Callable[[DataFrame, int], None]
 
@@ -19,15 +20,16 @@ def start_query(
     results: DataFrame,
     name: str,
     checkpoint: str,
-    sink: Sink = "console",
+    sink: Sink = print_batch,
     mode: str = "update",
     trigger: Mapping[str, str | bool] | None = None,
     options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start one named query with a checkpoint of its own.
 
-    ``sink`` is a format name (``console``, ``memory``, ``kafka``; ``parquet`` in
-    append mode) or a ``foreachBatch`` function such as ``append_batch`` makes.
+    ``sink`` is a ``foreachBatch`` function such as ``append_batch`` makes or a
+    format name (``memory``, ``kafka``; ``parquet`` in append mode; ``console``,
+    which shows 20 rows of a batch where ``print_batch`` prints them all).
     ``trigger`` takes the arguments of ``DataStreamWriter.trigger``;
     ``{"availableNow": True}`` reads what is there and stops.
     """
@@ -46,7 +48,7 @@ def start_query(
 def start_alerts(
     logs: DataFrame,
     checkpoint_root: str,
-    sink_of: Callable[[str], Sink] = lambda name: "console",
+    sink_of: Callable[[str], Sink] = lambda name: print_batch,
     mode: str = "update",
     trigger: Mapping[str, str | bool] | None = None,
     watermark: str | None = None,
@@ -74,7 +76,10 @@ def start_alerts(
 
 
 def await_all(queries: Sequence[StreamingQuery], poll_seconds: int = 1) -> None:
-    """Wait until every query ends; raise as soon as any of them fails."""
+    """Wait until every query ends; raise as soon as any of them fails.
+
+    The others go on then, and are the caller's to stop or to wait for again.
+    """
     running = list(queries)
     while running:
         running = [q for q in running if not q.awaitTermination(poll_seconds)]

@@ -11,7 +11,9 @@ def append_batch(
     """``foreachBatch`` function that appends each micro-batch to a store.
 
     With a ``path``, batch *n* owns the folder ``batch_id=n`` and replaces it, so
-    a batch that runs again after a failure leaves no duplicates. Any other
+    a batch that runs again after a failure leaves no duplicates. A new checkpoint
+    counts its batches from 0 again; it is refused on a folder that holds later
+    batches, as those would pass for its own. Any other
     format gets ``batch_id`` as a column and plain appends; there a replay may
     repeat rows, which ``latest_counts`` ignores.
 
@@ -25,6 +27,8 @@ def append_batch(
             batch = batch.repartition(files)
         if path is not None:
             target = f"{path.rstrip('/')}/batch_id={batch_id}"
+            if batch_id == 0:
+                _refuse_later_batches(batch.sparkSession, path, sink_format)
             batch.write.format(sink_format).options(**options).mode("overwrite").save(target)
         else:
             numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -33,14 +37,36 @@ def append_batch(
     return write
 
 
+def _refuse_later_batches(spark: SparkSession, path: str, sink_format: str) -> None:
+    held = read_changelog(spark, path, StructType(), sink_format, missing_ok=True).inputFiles()
+    later = [f for f in held if "/batch_id=0/" not in f]
+    if later:
+        raise ValueError(f"{path} holds batches of another checkpoint, such as {later[0]}")
+
+
+def print_batch(batch: DataFrame, batch_id: int) -> None:
+    """``foreachBatch`` function that prints all rows of a micro-batch, fetched one partition at a time."""
+    print(f"batch {batch_id}", *batch.columns, sep="\t")
+    for row in batch.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def read_changelog(
-    spark: SparkSession, path: str, schema: StructType, sink_format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    sink_format: str = "parquet",
+    missing_ok: bool = False,
 ) -> DataFrame:
-    """Everything ``append_batch`` wrote to ``path``, with ``batch_id``; empty before the first batch."""
+    """Everything ``append_batch`` wrote to ``path``, with ``batch_id``.
+
+    A path that does not exist is an error, or with *missing_ok* an empty
+    changelog, as before the first batch.
+    """
     full = StructType([*schema.fields, StructField("batch_id", LongType())])
     try:
         return spark.read.format(sink_format).schema(full).load(path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if not missing_ok or e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], full)

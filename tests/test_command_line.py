@@ -26,7 +26,30 @@ def test_report_on_screen(spark, log, capsys):
     shown = capsys.readouterr().out
     assert "status_distribution" in shown and "Non trouvé" in shown
     # Means show two decimals: (512 + 512 + 7 + 7) / 4 of the sizes that are numbers.
-    assert "|autre     |259.50           |" in shown
+    assert "autre\t259.50\n" in shown
+
+
+def test_every_row_is_printed(spark, tmp_path, capsys):
+    line = '1.1.1.1 - - [10/Feb/2025:07:05:13 +0000] "GET /a?id={} HTTP/1.1" 200 5\n'
+    (tmp_path / "a.log").write_text("".join(map(line.format, range(60))))
+    main(["report", "--log", str(tmp_path / "a.log")])
+    shown = capsys.readouterr().out
+    assert all(f"\n{i}\t1\n" in shown for i in range(60))
+
+
+def test_results_are_replaced_only_if_asked(spark, log, tmp_path):
+    command = ["report", "--log", log, "--out", str(tmp_path / "out")]
+    main(command)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        main(command)
+    main([*command, "--overwrite"])
+
+
+def test_status_in_another_format(spark, log, tmp_path):
+    out = str(tmp_path / "out")
+    main(["status", "--source", "text", "--option", f"path={log}", "--checkpoint", str(tmp_path / "checkpoint"),
+          "--out", out, "--sink-format", "json", "--files", "1", "--state-partitions", "2", "--until-caught-up"])
+    assert {r.requests for r in spark.read.json(f"{out}/status_counts").collect()} == {1, 2, 3}
 
 
 @pytest.mark.parametrize("line_format, reports", [("current", 9), ("extended", 9), ("basic", 7)])

@@ -19,6 +19,8 @@ def test_request_time(spark):
         "10/Feb/2025:07:05:13 ": seven,
         "10/Feb/2025:07:05:13": seven,
         "10/feb/2025:07:05:13 +0000": seven,
+        "10/Feb/2025:7:5:13 +0000": seven,
+        "1/Feb/2025:07:05:3 +0000": datetime(2025, 2, 1, 7, 5, 3),
         "10/Feb/2025:07:05:13 Z": seven,
         "10/Feb/2025:07:05:13 +0100": seven - timedelta(hours=1),
         "10/Feb/2025:07:05:13 +01:00": seven - timedelta(hours=1),
@@ -118,5 +120,5 @@ def test_exact_mean(spark):
     assert mean(big) == sum(big) / 5
     assert mean([1, 2, None]) == 1.5
     assert mean([]) is None
-    # Past 64 bits the sum gives way to the double mean instead of an error.
-    assert mean([2**63 - 1] * 4) == pytest.approx(2.0**63)
+    huge = [2**63 - 1] * 4 + [5, 7]
+    assert mean(huge) == sum(huge) / 6

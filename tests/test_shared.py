@@ -1,28 +1,24 @@
 from types import SimpleNamespace
 
-import pytest
-
 from hitscope.plans import shared_path
 
 
-def _session(master, folder):
+def _session(folder):
     return SimpleNamespace(
-        sparkContext=SimpleNamespace(master=master),
         conf=SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default),
     )
 
 
 def test_paths_lie_in_the_folder_the_cluster_names():
-    session = _session("yarn", "hdfs:///shared/")
+    session = _session("hdfs:///shared/")
     first, second = shared_path(session, "log"), shared_path(session, "log")
     assert first.startswith("hdfs:///shared/hitscope/log-")
     assert first != second
 
 
-def test_only_a_local_session_may_go_without():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_path(_session("spark://host:7077", None), "log")
-    assert "hitscope-" in shared_path(_session("local[8]", None), "log")
+def test_the_warehouse_stands_in(tmp_path):
+    conf = SimpleNamespace(get=lambda key, default: "hdfs:///warehouse" if key == "spark.sql.warehouse.dir" else default)
+    assert shared_path(SimpleNamespace(conf=conf), "log").startswith("hdfs:///warehouse/hitscope/log-")
 
 
 def test_the_setting_is_read_from_a_real_session(spark):

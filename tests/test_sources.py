@@ -31,6 +31,11 @@ def test_kv_text_with_nulls(spark, tmp_path):
     assert sorted(_pairs(read_kv_text(spark, path, "STRING"))) == [("1", None), ("v", None)]
 
 
+def test_kv_text_refuses_a_line_feed(spark, tmp_path):
+    with pytest.raises(Exception, match="line feed"):
+        write_kv_text(key_value_rows(spark, [(1, "a\nb")]), str(tmp_path / "kv"))
+
+
 def test_kv_text_does_not_overwrite_unasked(spark, tmp_path):
     path = str(tmp_path / "kv")
     write_kv_text(key_value_rows(spark, [(1, "a")]), path)

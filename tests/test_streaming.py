@@ -142,6 +142,22 @@ def test_a_repeated_append_does_not_change_the_fold(spark):
     assert _rows(op.latest_counts(table, ["status"])) == [(200, 9), (404, 1)]
 
 
+def test_another_checkpoint_is_refused(spark, lines, tmp_path):
+    _write(tmp_path / "in", lines[:80], 4)
+    results = lambda: op.status_counts(op.parse_stream_regex(_stream(spark, tmp_path / "in")))
+    _run(results(), tmp_path)
+    sink = append_batch(path=str(tmp_path / "out"))
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        _run(results(), tmp_path / "anew", sink=sink)
+
+
+def test_all_rows_of_a_batch_are_printed(spark, capsys):
+    from hitscope.streaming import print_batch
+
+    print_batch(spark.range(50), 3)
+    assert capsys.readouterr().out.split() == ["batch", "3", "id", *map(str, range(50))]
+
+
 def test_a_batch_in_fewer_files(spark, tmp_path):
     out = tmp_path / "out"
     append_batch(path=str(out), files=2)(spark.range(0, 1000, 1, 8), 5)
@@ -151,7 +167,9 @@ def test_a_batch_in_fewer_files(spark, tmp_path):
 
 def test_changelog_before_the_first_batch(spark, tmp_path):
     schema = spark.createDataFrame([], "status INT, requests BIGINT").schema
-    changelog = read_changelog(spark, str(tmp_path / "none"), schema)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_changelog(spark, str(tmp_path / "none"), schema)
+    changelog = read_changelog(spark, str(tmp_path / "none"), schema, missing_ok=True)
     assert changelog.columns == ["status", "requests", "batch_id"]
     assert _rows(op.latest_counts(changelog, ["status"])) == []
 
