@@ -79,13 +79,12 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataF
     """
     packed = docs.select(
         F.col("doc_id").cast("long").alias("id"),
-        F.coalesce("text", F.lit("")).alias("whole"),
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
     )
     positions = dropped_positions(docs, min_chars, min_docs).select(F.col("doc_id").alias("id"), "dropped")
     joined = packed.join(positions, "id", "left").select(
         "row",
-        F.split("whole", "\n", -1).alias("lines"),
+        F.split(F.coalesce(F.col("row").getField("text"), F.lit("")), "\n", -1).alias("lines"),
         F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
     )
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
