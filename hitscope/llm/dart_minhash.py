@@ -10,12 +10,13 @@ the number of elements plus k log k, not their product.
 
 Equal sets are one class from the start. In every band bucket the members are
 linked to the smallest one; pairs of a bucket that are still in different classes
-after that are compared themselves. All links are verified on whole sets.
+after that are compared themselves, unless their parity bitmaps prove that they are
+not similar. All links are verified on whole sets.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hitscope.llm import rolling
 from hitscope.llm.common import concatenated_ranges, id_and_text, save, sliced, utf8
@@ -23,6 +24,8 @@ from hitscope.llm.word_windows import runs_of_words, words_of
 
 #: Rows of a band and number of bands: a pair of similarity 0.8 shares no bucket with a probability of 5e-6.
 ROWS, BANDS = 6, 40
+#: 64-bit words of a parity bitmap. More of them rule out more pairs of long texts; none is ruled out wrongly.
+PARITY_WORDS = 16
 #: Edges of the rank axis that darts are thrown up to, step by step.
 _FIRST_EDGE = 1 / 16
 
@@ -106,14 +109,45 @@ def signatures(row: np.ndarray, element: np.ndarray, weight: np.ndarray, rows: i
     return best.reshape(rows, k)
 
 
+def parities(row: np.ndarray, element: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
+    """(rows, PARITY_WORDS) bitmaps; each element flips the bit of its hash as often as it occurs.
+
+    Two bitmaps differ in no more bits than there are elements, counted with repeats, in one set only.
+    """
+    bit = rolling.mix(element ^ np.uint64(0x6A09E667F3BCC909)) % np.uint64(64 * PARITY_WORDS)
+    words = np.zeros(rows * PARITY_WORDS, np.uint64)
+    flip = (count.astype(np.uint64) & np.uint64(1)) << (bit & np.uint64(63))
+    np.bitwise_xor.at(words, row * PARITY_WORDS + (bit >> np.uint64(6)).astype(np.int64), flip)
+    return words.reshape(rows, PARITY_WORDS)
+
+
+def possibly_similar(a: str, b: str, threshold: float) -> Column:
+    """False only for sets that cannot be similar; of each the columns ``size_`` and ``parity_`` with suffix *a* or *b*.
+
+    With s elements in both sets together, repeats included, similarity t needs at least s t / (1 + t)
+    common ones, so at most s (1 - t) / (1 + t) that are in one set only.
+    """
+    word = lambda side, i: F.get(f"parity_{side}", F.lit(i))
+    differ = sum((F.bit_count(word(a, i).bitwiseXOR(word(b, i))) for i in range(PARITY_WORDS)), F.lit(0))
+    # The small addend covers the rounding of the similarity that is measured afterwards.
+    return differ <= (F.col(f"size_{a}") + F.col(f"size_{b}")) * ((1 - threshold) / (1 + threshold) + 1e-6)
+
+
 def sketches(docs: DataFrame, width: int, weights: str) -> DataFrame:
-    """``doc_id, set1, set2, bands``: two hashes of the whole set, and a key for each band (none for an empty set)."""
+    """``doc_id, set1, set2, size, parity, bands``, one row for each document.
+
+    Two hashes of the whole set, its number of elements and parity bitmap, and a key for each band (none for an empty set).
+    """
 
     def run(batches):
         for batch in sliced(batches, "text"):
             n = batch.num_rows
             row, value, count = shingle_sets(*utf8(batch.column("text")), width)
-            weight = count.astype(np.float64) if weights == "counts" else np.ones(len(count))
+            count = count if weights == "counts" else np.ones_like(count)
+            weight = count.astype(np.float64)
+            size = np.bincount(row, weight, n).astype(np.int64)
+            parity = parities(row, value, count, n)
+            steps = np.arange(n + 1, dtype=np.int32) * PARITY_WORDS
             sums = []
             for seed in (5, 6):
                 per = rolling.mix(value * np.uint64(2 * seed + 1) + weight.astype(np.uint64))
@@ -127,9 +161,11 @@ def sketches(docs: DataFrame, width: int, weights: str) -> DataFrame:
             full = np.bincount(row, minlength=n) > 0
             ends = np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32)
             bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(key[full].ravel().view(np.int64)))
-            yield pa.record_batch([batch.column("doc_id"), *sums, bands], ["doc_id", "set1", "set2", "bands"])
+            bitmap = pa.ListArray.from_arrays(pa.array(steps), pa.array(parity.ravel().view(np.int64)))
+            columns = [batch.column("doc_id"), *sums, pa.array(size), bitmap, bands]
+            yield pa.record_batch(columns, ["doc_id", "set1", "set2", "size", "parity", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, set1 long, set2 long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, set1 long, set2 long, size long, parity array<long>, bands array<long>")
 
 
 def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, weights: str, threshold: float) -> DataFrame:
@@ -212,9 +248,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, wei
     classed = save(classed, "classed")
     mixed = classed.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     rest = classed.join(mixed.select("band", "key"), ["band", "key"])
-    left = rest.select("band", "key", F.col("doc_id").alias("a"), F.col("label").alias("label_a"))
-    right = rest.select("band", "key", F.col("doc_id").alias("b"), F.col("label").alias("label_b"))
-    across = left.join(right, ["band", "key"]).filter("a < b AND label_a != label_b").select("a", "b").distinct()
+    rest = rest.join(distinct.select("doc_id", "size", "parity"), "doc_id")
+    side = lambda s: rest.select("band", "key", F.col("doc_id").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("label", "size", "parity")))
+    differ = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
+    meet = side("a").join(side("b"), ["band", "key"]).filter(differ & possibly_similar("a", "b", threshold))
+    across = meet.select("a", "b").distinct()
     more = save(similar_pairs(named, across.join(star, ["a", "b"], "leftanti"), width, weights, threshold), "links")
     final = components(links.union(more))
     found = members.join(final, F.col("first") == final.node, "left").select("doc_id", F.coalesce("label", "first").alias("class_id"))
