@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, wei
 
     buckets = banded.groupBy("band", "key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).filter("a < last")
     shared = save(banded.join(buckets.drop("last"), ["band", "key"]), "buckets")
-    star = shared.filter("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    star = save(shared.filter("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
     links = save(similar_pairs(named, star, width, weights, threshold), "links")
 
     classes = components(links)
@@ -248,12 +248,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, wei
     classed = save(classed, "classed")
     mixed = classed.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     rest = classed.join(mixed.select("band", "key"), ["band", "key"])
-    rest = rest.join(distinct.select("doc_id", "size", "parity"), "doc_id")
+    rest = save(rest.join(every.select("doc_id", "size", "parity").dropDuplicates(["doc_id"]), "doc_id"), "mixed")
     side = lambda s: rest.select("band", "key", F.col("doc_id").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("label", "size", "parity")))
     differ = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
     meet = side("a").join(side("b"), ["band", "key"]).filter(differ & possibly_similar("a", "b", threshold))
-    across = meet.select("a", "b").distinct()
-    more = save(similar_pairs(named, across.join(star, ["a", "b"], "leftanti"), width, weights, threshold), "links")
+    across = save(meet.select("a", "b").distinct().join(star, ["a", "b"], "leftanti"), "pairs")
+    more = save(similar_pairs(named, across, width, weights, threshold), "links")
     final = components(links.union(more))
     found = members.join(final, F.col("first") == final.node, "left").select("doc_id", F.coalesce("label", "first").alias("class_id"))
     unnamed = docs.filter("doc_id IS NULL").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"))

@@ -126,6 +126,64 @@ def test_near_duplicates(spark, docs, empty):
     assert dart_minhash.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("weights", ["ones", "counts"])
+def test_parity_bitmaps_rule_out_no_similar_pair(spark, weights):
+    rng = np.random.default_rng(3)
+    sets = []
+    for size in (0, 1, 5, 9, 10, 140, 3000):
+        for share in (0.0, 0.02, 0.1, 0.11, 0.12, 0.3):
+            base = {int(x): int(c) for x, c in zip(np.arange(size) * 7919, rng.integers(1, 4, size))}
+            other = {(x if rng.uniform() > share else x + 1): c for x, c in base.items()}
+            sets += [base, other]
+    if weights == "ones":
+        sets = [dict.fromkeys(s, 1) for s in sets]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    element = np.array([x for s in sets for x in s]).astype(np.uint64)
+    count = np.array([c for s in sets for c in s.values()])
+    bitmaps = dart_minhash.parities(row, element, count, len(sets)).view(np.int64).tolist()
+    pairs, similar = [], 0
+    for i in range(len(sets)):
+        for j in range(i):
+            both = sum(min(c, sets[j].get(x, 0)) for x, c in sets[i].items())
+            sizes = sum(sets[i].values()), sum(sets[j].values())
+            near = both / max(1, sum(sizes) - both) >= 0.8
+            similar += near
+            pairs.append((near, sizes[0], bitmaps[i], sizes[1], bitmaps[j]))
+    frame = spark.createDataFrame(pairs, "near boolean, size_a long, parity_a array<long>, size_b long, parity_b array<long>")
+    left = frame.filter(dart_minhash.possibly_similar("a", "b", 0.8))
+    assert similar > 20 and left.filter("near").count() == similar
+    assert left.count() < len(pairs) / 2
+
+
+@pytest.mark.parametrize("weights", ["ones", "counts"])
+def test_near_duplicates_equal_all_pairs(spark, weights):
+    """A family of copies, many of them below the threshold to each other, so that buckets stay mixed after the first pass."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i % 90}" for i in range(160)]
+    texts = []
+    for i in range(120):
+        own = list(base)
+        for at in rng.integers(0, 160, i % 6):
+            own[at] = f"x{rng.integers(1 << 30)}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = []
+    for t in texts:
+        words, counts = t.split(), {}
+        for s in zip(*(words[k:] for k in range(5))):
+            counts[s] = counts.get(s, 0) + 1 if weights == "counts" else 1
+        sets.append(counts)
+    head = list(range(120))
+    for i in range(120):
+        for j in range(i):
+            both = sum(min(c, sets[j].get(x, 0)) for x, c in sets[i].items())
+            if both / (sum(sets[i].values()) + sum(sets[j].values()) - both) >= 0.8 and head[i] != head[j]:
+                low, high = sorted((head[i], head[j]))
+                head = [low if h == high else h for h in head]
+    got = {r["doc_id"]: r["class_id"] for r in dart_minhash.near_duplicates(docs, weights=weights).collect()}
+    assert got == dict(enumerate(head)) and 1 < len(set(head)) < 120
+
+
 def test_signatures_estimate_the_weighted_similarity():
     rng = np.random.default_rng(1)
     element = rng.integers(0, 1 << 63, 400).astype(np.uint64)
