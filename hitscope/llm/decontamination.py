@@ -1,17 +1,19 @@
 """Benchmark decontamination by templates: DataFrame functions only.
 
 Numbers, units and names of benchmark items and documents become typed
-placeholders, word for word. Windows of template words are hashed and joined;
-matches of one item on one diagonal (place in the document minus place in the
-item) are put together. An item is found where enough of its windows match and
-its slots are filled consistently: each filler of the item maps to one filler of
-the document throughout. So both a verbatim copy and a question with other
-numbers or names are caught.
+placeholders: one for a whole number, one for a run of name words. Windows of
+words, and of template words, are hashed and joined. Where a window matches, the
+item is laid beside the document on the diagonals (place in the document minus
+place in the item) of its windows, neighbouring ones together, and compared word
+for word. It is found where enough words match and its slots are filled
+consistently: each filler of the item maps to one filler of the document
+throughout. So a verbatim copy, a question with other numbers or names and a copy
+with a word changed, dropped or put in are all caught.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hitscope.llm.common import id_and_text
+from hitscope.llm.common import id_and_text, save
 
 # Words that name a unit when they follow a number.
 UNITS = [
@@ -21,103 +23,258 @@ UNITS = [
     "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks",
     "month", "months", "year", "years", "cent", "cents", "dollar", "dollars", "euro", "euros", "percent",
 ]
-# Placeholders begin with a character that no cleaned text holds.
-SLOT, NAMED = "\x01", "\x02"
+# Placeholders begin with a character that no cleaned text holds; JOINED ties the names of a run.
+SLOT, NAMED, JOINED = "\x01", "\x02", "\x03"
 NUMBER, UNIT, NAME = SLOT + "n", SLOT + "u", SLOT + "a"
-#: Windows of items that a job may broadcast; more of them are joined by a shuffle.
+#: Windows of items, or documents with a hit, that a job may broadcast; more of them are joined by a shuffle.
 _BROADCAST = 2_000_000
+#: In shorter runs of matching words fillers must be the same, as placeholders also match by chance.
+_RUN = 3
+#: Diagonals to either side of one with a window that are compared too: words dropped or put in near a border.
+_SHIFT = 3
+WORDS, TEMPLATE = 0, 1
+_CAPITAL = r"\p{Lu}\p{Ll}+"
 
 
-def cleaned(text: Column) -> Column:
-    """Words of letters and digits, one space apart, with a mark before each name.
+def _marked(text: Column) -> Column:
+    """A mark before each name: a capitalised word that follows a word or a comma."""
+    plain = F.translate(text, SLOT + NAMED + JOINED, "   ")
+    return F.regexp_replace(plain, rf"(?<=[\p{{L}}\p{{N}},;][ \n\t])({_CAPITAL})(?![\p{{L}}\p{{N}}])", NAMED + "$1")
 
-    A name is a capitalised word that follows a word or a comma: one that opens
-    the text or follows a stop may just begin a sentence.
-    """
-    plain = F.translate(text, SLOT + NAMED, "  ")
-    marked = F.regexp_replace(plain, r"(?<=[\p{L}\p{N},;][ \n\t])(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", NAMED + "$1")
-    return F.trim(F.regexp_replace(marked, r"[^\p{L}\p{N}\x02]+", " "))
+
+def _with_openers(frame: DataFrame) -> DataFrame:
+    """Capitalised words that open the text or follow a stop may just begin a sentence: names if they are one elsewhere."""
+    capital = F.regexp_extract_all("marked", F.lit(rf"(?<![\p{{L}}\p{{N}}\x02])(\x02?{_CAPITAL})(?![\p{{L}}\p{{N}}])"))
+    frame = frame.withColumn("capital", F.array_distinct(capital))
+    names = F.transform(F.filter("capital", lambda w: F.startswith(w, F.lit(NAMED))), lambda w: F.ltrim(w, F.lit(NAMED)))
+    frame = frame.withColumn("opening", F.array_intersect("capital", names))
+    pattern = F.concat(
+        F.lit(r"(?<![\p{L}\p{N}\x02])(?=\p{Lu})("), F.array_join("opening", "|"), F.lit(r")(?![\p{L}\p{N}])")
+    )
+    more = F.when(F.size("opening") > 0, F.regexp_replace("marked", pattern, F.lit(NAMED + "$1")))
+    return frame.withColumn("marked", F.coalesce(more, "marked")).drop("capital", "opening")
+
+
+def _cleaned(marked: Column) -> Column:
+    """Words and whole numbers, one space apart; runs of names are tied together."""
+    tied = F.regexp_replace(marked, r"(\x02\p{L}+)[ \n\t]+(?=\x02)", "$1" + JOINED)
+    return F.trim(F.regexp_replace(tied, r"(?:(?<!\p{N})[.,]|[.,](?!\p{N})|[^\p{L}\p{N}\x02\x03.,])+", " "))
 
 
-def template(clean: Column) -> Column:
-    """A cleaned text in lower case, with a placeholder for each name, number and unit, word for word."""
+def _template(clean: Column) -> Column:
+    """A cleaned text in lower case, with a placeholder for each run of names, number and unit."""
     typed = F.lower(F.regexp_replace(clean, NAMED + "[^ ]+", NAME))
-    typed = F.regexp_replace(typed, r"(?<![^ ])\p{N}+(?![^ ])", NUMBER)
+    typed = F.regexp_replace(typed, r"(?<![^ ])\p{N}[\p{N}.,]*(?![^ ])", NUMBER)
     return F.regexp_replace(typed, NUMBER + " (?:" + "|".join(UNITS) + ")(?![^ ])", NUMBER + " " + UNIT)
 
 
-def _windows(frame: DataFrame, key: str, width: int) -> DataFrame:
-    """``key, n, position, h, fillers``: hashed windows of template words; *fillers* where there is a placeholder.
+def _read(frame: DataFrame, *keys: str) -> DataFrame:
+    """*keys*, ``clean`` of the texts that hold a word."""
+    # A filter on the cleaned text would be pushed down and work it out several times over.
+    worded = frame.filter(F.col("text").rlike(r"[\p{L}\p{N}]"))
+    marked = _with_openers(worded.select(*keys, _marked(F.col("text")).alias("marked")))
+    return marked.select(*keys, _cleaned(F.col("marked")).alias("clean"))
+
+
+def _apart(clean: Column) -> Column:
+    return F.translate(clean, JOINED, " ")
+
+
+def _plain(clean: Column) -> Column:
+    """Lower-case words without marks."""
+    return F.split(F.lower(F.translate(clean, JOINED + NAMED, " ")), " ")
+
 
-    *n* is the number of words, *position* counts from 1. A text with fewer words than *width* is one window.
+def _hash(path: int, words: Column, at: Column, length) -> Column:
+    return F.xxhash64(F.lit(path), F.slice(words, at, length))
+
+
+def _item_windows(items: DataFrame, width: int) -> DataFrame:
+    """``item_id, path, length, at, h``: the windows of items by which they are looked up.
+
+    A word changed in the middle of a short item must leave a window whole, so
+    items of up to twice *width* words have windows of just under half their
+    words. Those of fewer than *width* + 2 words have to match as a whole.
+    Template windows hold at most a third of slots; an item that has none such
+    gets longer ones, with at most half of slots. Words are looked up as they are in any case.
     """
-    clean = frame.select(key, cleaned(F.col("text")).alias("clean"))
-    texts = clean.select(key, F.split("clean", " ").alias("tokens"), template(F.col("clean")).alias("template"))
-    typed = texts.select(key, "tokens", F.split("template", " ").alias("typed"), F.contains("template", F.lit(SLOT)).alias("slotted"))
-    span = F.least(F.size("typed"), F.lit(width))
+    n = F.size("words")
+    length = (
+        F.when(n < width + 2, F.least(n, F.lit(width))).when(n <= 2 * width, F.floor((n - 1) / 2)).otherwise(width)
+    ).cast("int")
+    plain = items.select("item_id", F.lit(WORDS).alias("path"), _plain(F.col("clean")).alias("words"))
+    typed = items.filter(F.col("clean").rlike(r"\x02|\p{N}")).select(
+        "item_id", F.lit(TEMPLATE).alias("path"), F.split(_template(F.col("clean")), " ").alias("words")
+    )
+
+    def cut(frame: DataFrame, length: Column) -> DataFrame:
+        parts = frame.withColumn("length", length).withColumn(
+            "at", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("length") + 1))
+        )
+        return parts.withColumn("part", F.slice("words", F.col("at"), F.col("length"))).withColumn(
+            "slots", F.size(F.filter("part", lambda w: F.startswith(w, F.lit(SLOT))))
+        )
+
+    sparse = cut(typed, length).filter(F.col("slots") * 3 <= F.col("length"))
+    dense = typed.join(sparse.select("item_id").distinct(), "item_id", "leftanti")
+    longer = cut(dense, F.least(n, F.lit(2 * width))).filter(F.col("slots") * 2 <= F.col("length"))
+    hashed = F.xxhash64("path", F.transform("part", lambda w: F.xxhash64(w)))
+    return cut(plain, length).unionByName(sparse).unionByName(longer).select("item_id", "path", "length", "at", hashed.alias("h"))
+
 
-    def window(at: Column) -> Column:
-        part = F.slice("typed", at, span)
-        slots = F.col("slotted") & F.exists(part, lambda w: F.startswith(w, F.lit(SLOT)))
-        fillers = F.when(slots, F.slice("tokens", at, span))
-        return F.struct(at.alias("position"), F.xxhash64(part).alias("h"), fillers.alias("fillers"))
+def _doc_windows(texts: DataFrame, keys: list[str], lengths: dict[int, list[int]]) -> DataFrame:
+    """*keys*, ``path, position, h`` of the documents' windows of the given lengths; *position* counts from 1."""
+    numbers = lambda words: F.transform(words, lambda w: F.xxhash64(w))
+    slotted = F.col("clean").rlike(r"\x02|\p{N}")
+    read = texts.select(
+        *keys,
+        numbers(_plain(F.col("clean"))).alias("words0"),
+        F.when(slotted, numbers(F.split(_template(F.col("clean")), " "))).alias("words1"),
+    )
+
+    def windows(path: int, length: int) -> Column:
+        words = F.col(f"words{path}")
+        cut = F.transform(
+            F.sequence(F.lit(1), F.size(words) - length + 1),
+            lambda at: F.struct(F.lit(path).alias("path"), at.alias("position"), _hash(path, words, at, length).alias("h")),
+        )
+        return F.when(words.isNotNull() & (F.size(words) >= length), cut).otherwise(
+            F.array().cast("array<struct<path:int,position:int,h:bigint>>")
+        )
+
+    parts = [windows(path, length) for path, own in lengths.items() for length in own]
+    return read.select(*keys, F.explode(F.concat(*parts)).alias("w")).select(*keys, "w.*")
 
-    cut = F.transform(F.sequence(F.lit(1), F.size("typed") - span + 1), window)
-    return typed.select(key, F.size("typed").alias("n"), F.explode(cut).alias("w")).select(key, "n", "w.*")
+
+def _words(frame: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    """*keys*, ``path`` and arrays of the words as written and as placeholders, word for word and with runs tied."""
+    one = F.lit(WORDS).alias("path"), _apart(F.col("clean")).alias("form")
+    two = F.lit(TEMPLATE).alias("path"), F.col("clean").alias("form")
+    both = frame.select(*keys, *one).unionByName(frame.select(*keys, *two))
+    return both.select(
+        *keys,
+        "path",
+        F.split(F.lower(F.translate("form", NAMED, "")), " ").alias(prefix + "_words"),
+        F.split(_template(F.col("form")), " ").alias(prefix + "_typed"),
+    )
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = 8, coverage: float = 0.6) -> DataFrame:
     """``doc_id, item_id, start, n_windows, n_matched, coverage, kind``: where documents hold items.
 
     *start* is the word (from 1) of the document at which the item would begin, *kind*
-    "verbatim" or "template" (some filler differs). At least *coverage* of an
-    item's windows of *width* template words must match in a row of words with
-    consistent slots. NULL or empty texts and rows without an id hold nothing
-    and are held by nothing; repeated rows give one row.
+    "verbatim" or "template" (some filler differs). *n_windows* is the number of
+    windows of *width* words of an item, *n_matched* the number of its words that
+    match, less *width* - 1: the windows that an unbroken match of so many words
+    holds. At least *coverage* of them must match with consistent slots; in
+    a template half of the matching words must be the same. An item with fewer words than *width* is one window of its own length and
+    is found wherever a document holds these words, even a single one. NULL or empty
+    texts and rows without an id hold nothing and are held by nothing; repeated rows
+    give one row.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).filter(
         "item_id IS NOT NULL AND text IS NOT NULL"
     )
-    items = items.filter(cleaned(F.col("text")) != "")
-    # Windows with more than a third of placeholders match too much.
-    slots_of = F.size(F.filter("fillers", lambda w: w.rlike("^" + NAMED + r"|^\p{N}+$")))
-    own = _windows(items.distinct(), "item_id", width).filter(F.coalesce(slots_of * 3 <= width, F.lit(True))).select(
-        "item_id", F.col("position").alias("at"), "h", F.col("fillers").alias("own"), F.col("n").alias("size")
-    )
-    total = own.groupBy("item_id").agg(F.countDistinct("at").alias("n_windows"))
-    read = id_and_text(docs).filter("doc_id IS NOT NULL")
+    # The same id may come with several texts.
+    items = _read(items.distinct(), "item_id", "text").withColumn("item", F.struct("item_id", F.xxhash64("text").alias("of")))
+    items = items.select(F.col("item").alias("item_id"), "clean")
+    own = save(_item_windows(items, width), "item-windows")
+    lengths: dict[int, list[int]] = {}
+    for row in own.select("path", "length").distinct().orderBy("path", "length").collect():
+        lengths.setdefault(row["path"], []).append(row["length"])
     small = own.limit(_BROADCAST + 1).count() <= _BROADCAST
-    hits = _windows(read, "doc_id", width).join(F.broadcast(own) if small else own, "h")
-    matched = hits.select(
-        "doc_id", "item_id", "at", (F.col("position") - F.col("at") + 1).alias("start"), "own", "fillers"
-    ).distinct()
 
-    keys = ["doc_id", "item_id", "start"]
-    # One row for each slot of the item; the same slot comes from several windows.
-    slots = (
-        matched.filter("own IS NOT NULL")
-        .select(*keys, F.explode(F.arrays_zip(F.col("own"), F.col("fillers"))).alias("z"))
-        .select(*keys, F.lower(F.ltrim("z.own", F.lit(NAMED))).alias("own"), F.lower(F.ltrim("z.fillers", F.lit(NAMED))).alias("other"))
-        .groupBy(*keys, "own")
-        .agg(F.min("other").alias("low"), F.max("other").alias("high"))
-        .groupBy(*keys)
+    keys = ["doc_id", "of"]
+    read = id_and_text(docs).filter("doc_id IS NOT NULL").withColumn("of", F.xxhash64("text"))
+    cut = _doc_windows(_read(read, *keys), keys, lengths or {WORDS: [width]})
+    sought = own.select("item_id", "at", "h")
+    # A diagonal of a document and an item: the word of the document at which the item would begin.
+    hits = cut.join(F.broadcast(sought) if small else sought, "h").select(
+        *keys, "item_id", "path", (F.col("position") - F.col("at") + 1).alias("diagonal")
+    )
+    hits = save(hits.distinct(), "item-hits")
+
+    pair = [*keys, "item_id", "path"]
+    along = Window.partitionBy(*pair).orderBy("diagonal")
+    apart = (F.col("diagonal") - F.lag("diagonal").over(along) > width).cast("int")
+    grouped = hits.withColumn("place", F.sum(F.coalesce(apart, F.lit(0))).over(along))
+    shifted = F.explode(F.sequence(F.col("diagonal") - _SHIFT, F.col("diagonal") + _SHIFT)).alias("beside")
+    grouped = (
+        grouped.select(*pair, "place", "diagonal", shifted)
+        .groupBy(*pair, "place", F.col("beside").alias("diagonal"))
+        .agg(F.max(F.abs(F.col("beside") - F.col("diagonal")) <= 1).alias("sure"))
+    )
+    # Texts are read again only where there is a hit.
+    hit = hits.select(*keys).distinct()
+    few = hit.limit(_BROADCAST + 1).count() <= _BROADCAST
+    again = read.join(F.broadcast(hit) if few else hit, keys, "leftsemi").dropDuplicates(keys)
+    texts = _words(_read(again, *keys), keys, "doc")
+    forms = _words(items, ["item_id"], "item")
+    beside = grouped.join(F.broadcast(forms) if small else forms, ["item_id", "path"]).join(texts, [*keys, "path"])
+
+    place = [*pair, "place"]
+    spot = F.col("at") + F.col("diagonal") - 1
+    laid = beside.withColumn("n", F.size("item_words")).withColumn("at", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    word = lambda column, i: F.get(column, i - 1)
+    laid = laid.select(
+        *place, "diagonal", "sure", "n", "at",
+        word("item_words", F.col("at")).alias("own"),
+        word("doc_words", spot).alias("other"),
+        word("item_typed", F.col("at")).alias("own_type"),
+        word("doc_typed", spot).alias("other_type"),
+    ).withColumn("good", F.coalesce((F.col("own") == F.col("other")) | (F.col("own_type") == F.col("other_type")), F.lit(False)))
+    line = Window.partitionBy(*place, "diagonal").orderBy("at")
+    broken = laid.withColumn("part", F.sum((~F.col("good")).cast("int")).over(line)).filter("good")
+    runs = broken.withColumn("run", F.count("*").over(Window.partitionBy(*place, "diagonal", "part")))
+    # Each word of an item counts once, on the diagonal where its run is longest.
+    long = F.col("run") >= F.least(F.lit(_RUN), F.col("n"))
+    best = runs.filter(long | (F.col("sure") & (F.col("own") == F.col("other")))).groupBy(*place, "n", "at").agg(
+        F.max_by(F.struct("own", "other", "own_type", "diagonal", "run"), F.struct("run", "sure", -F.col("diagonal"))).alias("b")
+    )
+    # One row for each filler of the item.
+    fillers = (
+        best.groupBy(*place, "n", "b.own", F.startswith("b.own_type", F.lit(SLOT)).alias("slot"))
         .agg(
-            F.bool_and(F.col("low") == F.col("high")).alias("consistent"),
-            F.bool_and((F.col("low") == F.col("own")) & (F.col("high") == F.col("own"))).alias("same"),
+            F.count("*").alias("words"),
+            F.sum((F.col("b.own") == F.col("b.other")).cast("int")).alias("same"),
+            F.min("b.other").alias("low"),
+            F.max("b.other").alias("high"),
+            F.max(F.struct("b.run", (-F.col("b.diagonal")).alias("back"))).alias("longest"),
         )
     )
-    counted = matched.groupBy(*keys).agg(F.countDistinct("at").alias("n_matched"))
-    judged = counted.join(slots, keys, "left").join(F.broadcast(total) if small else total, "item_id")
+    judged = fillers.groupBy(*place, "n").agg(
+        F.sum("words").alias("words"),
+        F.sum("same").alias("same"),
+        F.bool_and(~F.col("slot") | (F.col("low") == F.col("high"))).alias("consistent"),
+        F.max("longest").alias("longest"),
+    )
+    span = F.least(F.col("n"), F.lit(width))
+    judged = judged.withColumn("n_windows", (F.col("n") - span + 1).cast("long")).withColumn(
+        "n_matched", F.greatest(F.col("words") - span + 1, F.lit(0))
+    )
     share = F.col("n_matched") / F.col("n_windows")
-    return judged.filter((share >= coverage) & F.coalesce("consistent", F.lit(True))).select(
+    judged = judged.filter((share >= coverage) & F.col("consistent") & (F.col("same") * 2 >= F.col("words"))).withColumn(
+        "diagonal", -F.col("longest.back")
+    )
+    # Places in tied words become places in words.
+    tied = F.slice(F.split("clean", " "), 1, F.greatest(F.col("diagonal") - 1, F.lit(0)))
+    more = F.aggregate(tied, F.lit(0), lambda n, w: n + F.length(w) - F.length(F.translate(w, JOINED, "")))
+    cleans = _read(again, *keys)
+    judged = judged.join(cleans, keys).withColumn("start", F.col("diagonal") + F.when(F.col("path") == TEMPLATE, more).otherwise(0))
+    # The same place found both ways, or at places a few words apart, is one.
+    near = Window.partitionBy(*keys, "item_id").orderBy("start", "path")
+    new = F.coalesce((F.col("start") - F.lag("start").over(near) > width).cast("int"), F.lit(0))
+    first = Window.partitionBy(*keys, "item_id", "spot").orderBy(F.desc(share), "path", "start")
+    one = judged.withColumn("spot", F.sum(new).over(near)).withColumn("place", F.row_number().over(first)).filter("place = 1")
+    return one.select(
         "doc_id",
-        "item_id",
+        "item_id.item_id",
         "start",
         "n_windows",
         "n_matched",
         share.alias("coverage"),
-        F.when(F.coalesce("same", F.lit(True)), "verbatim").otherwise("template").alias("kind"),
-    )
+        F.when(F.col("same") == F.col("words"), "verbatim").otherwise("template").alias("kind"),
+    ).distinct()
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
