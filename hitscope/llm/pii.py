@@ -22,14 +22,16 @@ _EPOCH, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1)
 _FORMS = re.compile(
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]{0,62}[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,18}(?![\w-]))"
     r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
-    r"|(?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d))"
+    r"|(?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?!(?!T\d)[\w/-]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?![\w-])"
-    r"|(?<![\w+])\+\d{1,3}[ .-]\d{2,4}(?:[ .-]\d{2,4}){2,3}(?![\w-]))"
-    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?\d{4}){3,6}(?: ?\d{1,3})?(?!\w))"
+    r"|(?<![\w+])\+\d{1,3}[ .-]\d{2,4}(?:[ .-]\d{2,4}){2,3}(?![\w-])"
+    r"|(?<![\w+.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-]|\.\d))"
+    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))",
     re.ASCII,
 )
+_GROUP = re.compile(r"\w+", re.ASCII)
 
 
 def _round(key: bytes, tweak: bytes, number: int, half: int, size: int) -> int:
@@ -79,7 +81,23 @@ def _permuted_digits(digits: str, key: bytes, tweak: bytes, inverse: bool) -> st
 
 
 def _iban_check(country: str, rest: str) -> int:
-    return 98 - int(rest + "".join(str(ord(c) - 55) for c in country) + "00") % 97
+    return 98 - int("".join(str(int(c, 36)) for c in rest + country) + "00") % 97
+
+
+def _permuted_account(body: str, key: bytes, tweak: bytes, inverse: bool) -> str:
+    """Digits and letters are permuted as one number each; their places stay."""
+    digits, letters = "".join(c for c in body if c.isdigit()), [c for c in body if not c.isdigit()]
+    new_digits = _permuted_digits(digits, key, tweak, inverse) if digits else ""
+    number = 0
+    for c in letters:
+        number = number * 26 + ord(c) - 65
+    number = permute(number, 26 ** len(letters), key, tweak + b"a%d" % len(letters), inverse)
+    new_letters = []
+    for _ in letters:
+        number, c = divmod(number, 26)
+        new_letters.append(chr(65 + c))
+    digit, letter = iter(new_digits), iter(new_letters[::-1])
+    return "".join(next(digit) if c.isdigit() else next(letter) for c in body)
 
 
 def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str | None:
@@ -113,16 +131,22 @@ def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str |
         number = permute(sum(int(p) << 8 * i for i, p in enumerate(reversed(parts))), 1 << 32, key, tweak, inverse)
         return ".".join(str(number >> 8 * i & 255) for i in (3, 2, 1, 0))
     if kind == "date":
-        year_first = value[4] == "-"
-        year, day = (digits[:4], digits[6:]) if year_first else (digits[4:], digits[:2])
-        try:
-            date = datetime.date(int(year), int(digits[4:6] if year_first else digits[2:4]), int(day)).toordinal() - _EPOCH
-        except ValueError:
+        forms = ["%Y%m%d"] if value[4] == "-" else ["%d%m%Y", "%m%d%Y"] if value[2] == "/" else ["%d%m%Y"]
+        for form in forms:  # month first only where day first is impossible
+            try:
+                first = datetime.datetime.strptime(digits, form).date()
+                break
+            except ValueError:
+                continue
+        else:
             return None
+        date = first.toordinal() - _EPOCH
         if not 0 <= date < _DAYS:
             return None
         new = datetime.date.fromordinal(permute(date, _DAYS, key, tweak, inverse) + _EPOCH)
-        return _fill(value, new.strftime("%Y%m%d" if year_first else "%d%m%Y"))
+        while form == "%m%d%Y" and new.day <= 12:  # stay among the dates that are read month first
+            new = datetime.date.fromordinal(permute(new.toordinal() - _EPOCH, _DAYS, key, tweak, inverse) + _EPOCH)
+        return _fill(value, new.strftime(form))
     if kind == "ssn":
         valid = lambda d: d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
         if not valid(digits):
@@ -138,11 +162,12 @@ def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str |
             return None
         return _fill(value, digits[:kept] + _permuted_digits(digits[kept:], key, tweak, inverse))
     if kind == "iban":
-        body = digits[2:]
-        if int(digits[:2]) != _iban_check(value[:2], body):
+        body = "".join(c for c in value[4:] if c.isalnum())
+        if not 11 <= len(body) <= 30 or int(digits[:2]) != _iban_check(value[:2], body):
             return None
-        body = _permuted_digits(body, key, tweak + value[:2].encode(), inverse)
-        return value[:2] + _fill(value[2:], f"{_iban_check(value[:2], body):02d}{body}")
+        body = _permuted_account(body, key, tweak + value[:2].encode(), inverse)
+        rest = iter(f"{_iban_check(value[:2], body):02d}{body}")
+        return value[:2] + "".join(next(rest) if c.isalnum() else c for c in value[2:])
     if kind == "card":
         # Long numbers of 16 digits are taken for account numbers even without a Luhn sum, and then keep lacking it.
         off = (int(digits[-1]) - luhn(digits[:-1])) % 10
@@ -155,17 +180,54 @@ def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str |
 
 def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, end) of what they replaced, in characters of *text*."""
-    found = []
+    found, out, done = [], [], 0
+    for kind, start, stop, new in _found(text, key, 0, len(text)):
+        found.append((kind, start, stop))
+        out += [text[done:start], new]
+        done = stop
+    return "".join([*out, text[done:]]), found
+
 
-    def swap(match: re.Match) -> str:
-        kind = match.lastgroup
+def _found(text: str, key: bytes, start: int, stop: int):
+    """(kind, start, end, pseudonym) in order, from a stretch of the text.
+
+    A match that fails its check may hold a valid value: its longest valid part
+    from group to group is taken, or else the search goes on at its next group.
+    """
+    while match := _FORMS.search(text, start, stop):
+        kind, low, high = match.lastgroup, match.start(), match.end()
         new = pseudonym(kind, match[0], key)
         if new is None:
-            return match[0]
-        found.append((kind, match.start(), match.end()))
-        return new
+            part = _valid_part(kind, match, key) if kind in ("card", "iban") else None
+            if part is None:
+                groups = _GROUP.finditer(match[0])
+                next(groups)
+                following = next(groups, None)
+                start = low + following.start() if following else high
+                continue
+            low, high, new = part
+            yield from _found(text, key, match.start(), low)
+        yield kind, low, high, new
+        start = high
+
 
-    return _FORMS.sub(swap, text), found
+def _valid_part(kind: str, match: re.Match, key: bytes) -> tuple[int, int, str] | None:
+    """The longest part of a match, from group to group, that passes the check of its kind."""
+    groups = [g.span() for g in _GROUP.finditer(match[0])]
+    if kind == "iban":  # an account begins with its country
+        parts = [(groups[0][0], b) for _, b in groups]
+    else:
+        parts = [(a, b) for i, (a, _) in enumerate(groups) for _, b in groups[i:]]
+    for a, b in sorted(parts, key=lambda p: (p[0] - p[1], p[0])):
+        value = match[0][a:b]
+        digits = "".join(c for c in value if c.isdigit())
+        # Part of a longer number is a card only with its Luhn sum.
+        if kind == "card" and not (13 <= len(digits) <= 19 and int(digits[-1]) == luhn(digits[:-1])):
+            continue
+        new = pseudonym(kind, value, key)
+        if new is not None:
+            return match.start() + a, match.start() + b, new
+    return None
 
 
 def pseudonymise_documents(docs: DataFrame, key: bytes) -> DataFrame:

@@ -1,0 +1,42 @@
+"""Valid values inside longer matches, and further forms of accounts, dates and phones."""
+
+import pytest
+
+from hitscope.llm import pii
+
+KEY = b"k"
+CARD = "4111 1111 1111 1111"
+
+
+@pytest.mark.parametrize("text", [f"{CARD} 123", f"12 {CARD}", f"12 {CARD} 5", f"paid {CARD}, 9", f"{CARD} {CARD}"])
+def test_card_beside_other_numbers(text):
+    new, found = pii.pseudonymise(text, KEY)
+    assert new == text.replace(CARD, pii.pseudonym("card", CARD, KEY))
+    assert [text[a:b] for kind, a, b in found if kind == "card"] == [CARD] * text.count(CARD)
+
+
+@pytest.mark.parametrize(
+    "kind, value",
+    [
+        ("iban", "GB82 WEST 1234 5698 7654 32"), ("iban", "NL91ABNA0417164300"), ("iban", "FR14 2004 1010 0505 0001 3M02 606"),
+        ("iban", "IT60 X054 2811 1010 0000 0123 456"), ("iban", "IE29 AIBK 9311 5212 3456 78"), ("iban", "NO93 8601 1117 947"),
+        ("date", "02/29/2024"), ("date", "12/31/1999"), ("phone", "212-555-0187"), ("phone", "1 212 555 0187"),
+    ],
+)
+def test_forms(kind, value):
+    new = pii.pseudonym(kind, value, KEY)
+    assert new != value and pii.pseudonym(kind, new, KEY, inverse=True) == value
+    text, found = pii.pseudonymise(f"see {value}, twice {value} THE END", KEY)
+    assert text == f"see {new}, twice {new} THE END" and [f[0] for f in found] == [kind] * 2
+    assert [f[0] for f in pii.pseudonymise(f"see {new}.", KEY)[1]] == [kind]
+
+
+def test_timestamp():
+    text, found = pii.pseudonymise("at 2024-02-29T10:00 sharp", KEY)
+    assert found == [("date", 3, 13)]
+    assert text == f"at {pii.pseudonym('date', '2024-02-29', KEY)}T10:00 sharp"
+
+
+def test_value_behind_a_failed_match():
+    text, found = pii.pseudonymise("no 12 2024-02-29 12345678 of it", KEY)
+    assert [f[0] for f in found] == ["date"] and "2024-02-29" not in text
