@@ -200,24 +200,27 @@ def document_probabilities(net: Network, data: np.ndarray, offsets: np.ndarray)
 
 
 def training_sample(docs: DataFrame, per_language: int = 400, chars: int = 600, max_languages: int = 32) -> list:
-    """At most *per_language* rows ``(lang, text)`` of each of the *max_languages* most frequent languages.
+    """At most *per_language* distinct texts ``(lang, text)`` of each of the *max_languages* most frequent languages.
 
     Documents whose crc32(id) is divisible by 5 are left out. Which documents,
     and where in a text its *chars* characters start, follow from a hash of the text
-    alone. The languages' counts, all of them over all documents, set how many
+    alone. The languages' counts of distinct texts, all of them over all documents, set how many
     hashes pass, so that the sample has a bounded size before it is gathered.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (id_bucket(F.col("doc_id"), 5) != 0))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     hashed = labelled.select("lang", "text", F.xxhash64("text").alias("h"))
+    # Copies of a text are one text: they share a hash, and must not stand for several.
+    texts = hashed.groupBy("lang", "h").agg(F.count("*").alias("copies"))
+    counts = texts.groupBy("lang").agg(F.sum("copies").alias("rows"), F.count("*").alias("texts"))
     passing = F.lit(False)
-    for row in counts:
-        share = min(1.0, 3.0 * per_language / row["count"])
+    for row in counts.orderBy(F.desc("rows"), "lang").limit(max_languages).collect():
+        share = min(1.0, 3.0 * per_language / row["texts"])
         passing = passing | ((F.col("lang") == row["lang"]) & (F.pmod("h", F.lit(1 << 20)) <= int(share * (1 << 20))))
+    ranked = texts.filter(passing).withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    chosen = ranked.filter(F.col("place") <= per_language).select("lang", "h", "place")
     start = F.pmod(F.shiftright("h", 20), F.greatest(F.char_length("text") - chars, F.lit(1))).cast("int")
-    picked = hashed.filter(passing).select("lang", "h", F.substring("text", start + 1, F.lit(chars)).alias("text"))
-    ranked = picked.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
-    return ranked.filter(F.col("place") <= per_language).orderBy("lang", "place").select("lang", "text").collect()
+    picked = hashed.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "place", F.substring("text", start + 1, F.lit(chars)).alias("text"))
+    return picked.groupBy("lang", "place").agg(F.min("text").alias("text")).orderBy("lang", "place").select("lang", "text").collect()
 
 
 def train(docs: DataFrame, per_language: int = 400, units: int = 8) -> Network:
