@@ -7,11 +7,14 @@ from hitscope.llm import (
     byte_bpe,
     dart_minhash,
     decontamination,
+    hard_negatives,
     language_id,
     line_dedup,
+    merkle,
     nearest,
     pii,
     quality,
+    simhash,
     substring_dedup,
     suffix_dedup,
 )
@@ -65,6 +68,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_nearest": op1_nearest,
     "op2_decontamination": op2_decontamination,
@@ -76,10 +91,15 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE_SQL = {
     "op3_line_dedup": line_dedup.ORACLE_SQL,
     "op8_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op9_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op12_merkle_manifest": merkle.ORACLE_SQL,
 }

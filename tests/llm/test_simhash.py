@@ -1,0 +1,108 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+
+from hitscope.llm import simhash
+from hitscope.llm.common import utf8
+
+
+def _plain(text):
+    data = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+    words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+    if not words:
+        return 0
+    runs = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [b" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(r, 42) for r in runs]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def _components(prints, ids):
+    """Smallest id reachable, by comparing all pairs."""
+    parent = list(range(len(prints)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    least = {}
+    for i, id_ in enumerate(ids):
+        least[root(i)] = min(id_, least.get(root(i), id_))
+    return [least[root(i)] for i in range(len(ids))]
+
+
+TEXTS = ["", None, " \t\n\r\x0b\x0c", "One", "one", "A b", "a\x0bB", "a b c", "A  B\nC", "a b c d", "é À ß x", "  a", "a b c a b c a b c", "\x1c\x1d a b"]
+
+
+@pytest.mark.parametrize("size", [1 << 20, 40, 7, 1])
+def test_fingerprints_of_whole_texts(size):
+    rng = random.Random(3)
+    texts = [*TEXTS, *(" ".join(rng.choices(["aa", "B", "c\tc", "dddddddddddd" * 3, "é"], k=n)) for n in range(60)), " " * 50 + "a  " + " " * 50 + "b"]
+    data, offsets = utf8(pa.array([t or "" for t in texts]))
+    assert simhash.row_fingerprints(data, offsets, size).tolist() == [_plain(t) for t in texts]
+
+
+def test_a_text_longer_than_a_piece():
+    rng = random.Random(4)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(250_000)) + " " + "x" * (3 << 20) + " end of it"
+    data, offsets = utf8(pa.array([text, "short"]))
+    assert len(text) > 4 << 20
+    assert simhash.row_fingerprints(data, offsets).tolist() == [_plain(text), _plain("short")]
+
+
+def test_masks_leave_no_close_pair_apart():
+    rng = random.Random(5)
+    for _ in range(2000):
+        differ = sum(1 << p for p in rng.sample(range(64), rng.randrange(1, 4)))
+        shared = [m for m in simhash.first_masks() if not m & differ]
+        assert shared
+        mask = rng.choice(shared)
+        while 64 - mask.bit_count() >= simhash.PARTS:
+            shared = [m for m in simhash.finer_masks(mask) if not m & differ]
+            assert shared and all(m & mask == mask for m in shared)
+            mask = rng.choice(shared)
+
+
+@pytest.mark.parametrize("small", [1000, 32, 12])
+def test_links_equal_all_pairs(spark, small):
+    """Dense groups around a few centres, far beyond what a small bucket holds."""
+    rng = random.Random(6)
+    centres = [rng.getrandbits(64) for _ in range(6)]
+    centres += [c ^ 0b11111 for c in centres[:3]] + [0]
+    prints = {rng.getrandbits(64) for _ in range(200)} | set(centres)
+    for c in centres:
+        for _ in range(60):
+            prints.add(c ^ sum(1 << p for p in rng.sample(range(20) if rng.random() < 0.5 else range(64), rng.randrange(1, 7))))
+    prints = sorted(prints)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    links = simhash.hamming_links(spark.createDataFrame([(p,) for p in signed], "fp BIGINT"), small)
+    pairs = [(r.a, r.b) for r in links.collect()]
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 3 for a, b in pairs)
+    found = {r.node: r.label for r in simhash.components(links).collect()}
+    expected = _components(prints, signed)
+    assert [found.get(s, s) for s in signed] == expected
+    assert len(set(expected)) < len(prints) - 200
+
+
+def test_documents(spark):
+    rng = random.Random(7)
+    base = " ".join(str(rng.randrange(1000)) for _ in range(400))
+    texts = [*TEXTS, base, base.upper(), base + " and", base.replace(" 1", " 2", 1), "a quite different text of seven words"]
+    rows = [(i * 3 + 1, t, "own", 5) for i, t in enumerate(texts)] + [(None, base, "x", 1), (None, None, "x", 1), (4, "a repeated id", "x", 1), (1, None, "x", 1)]
+    table = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, fp STRING, label INT")
+    named = [(i, _plain(t)) for i, t, *_ in rows if i is not None]
+    reach = _components([p for _, p in named], [i for i, _ in named])
+    expected = [(i, f"{p:016x}", c) for (i, p), c in zip(named, reach)] + [(None, f"{_plain(base):016x}", None), (None, "0" * 16, None)]
+    found = simhash.near_duplicates(table.repartition(4))
+    assert found.columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, expected))
+    assert simhash.near_duplicates(table.limit(0)).collect() == []
