@@ -1,6 +1,6 @@
 """DataFrame operators: parsers, batch analyses and alerts."""
 
-from hitscope.operators.alerts import error_spikes, status_counts, suspicious_ips, trending_products
+from hitscope.operators.alerts import all_alerts, error_spikes, status_counts, suspicious_ips, trending_products
 from hitscope.operators.analyses import (
     avg_response_size,
     avg_size_by_category,
@@ -35,6 +35,7 @@ from hitscope.operators.rollup import traffic_rollup
 __all__ = [
     "LOG_SCHEMA",
     "PARSED_SCHEMA",
+    "all_alerts",
     "avg_response_size",
     "avg_size_by_category",
     "error_spikes",

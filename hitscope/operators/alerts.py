@@ -6,6 +6,7 @@ lateness to allow for. Without one a stream accepts rows however late, keeps
 every window in its state for good, and cannot run in append mode.
 """
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -69,6 +70,74 @@ def suspicious_ips(
     return _count_in_windows(logs, "ip", width, watermark, F.col("requests") > more_than)
 
 
+# Seconds in a unit of a window's width.
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(width: str) -> int:
+    count, unit = width.split()
+    return int(count) * _UNITS[unit.lower().removesuffix("s")]
+
+
+def all_alerts(
+    logs: DataFrame,
+    statuses: Sequence[int] = tuple(SPIKE_STATUSES),
+    marker: str = TRENDING_MARKER,
+    trending_more_than: int = TRENDING_MORE_THAN,
+    suspicious_more_than: int = SUSPICIOUS_MORE_THAN,
+    spike_width: str = SPIKE_WINDOW,
+    trending_width: str = TRENDING_WINDOW,
+    suspicious_width: str = SUSPICIOUS_WINDOW,
+    watermark: str | None = None,
+) -> DataFrame:
+    """The three alerts as rows ``alert, window_start, window_end, item, requests``, from one read and one state.
+
+    Every log row gives a row for each alert that it counts for, and one
+    aggregate counts all of them by (alert, window, item); limits come after it. On a
+    stream that is one source reader and one state store in place of three.
+    The aggregate's own window is the shortest that all widths divide, so with a watermark the
+    state of a shorter window lives until that one is over, and in append mode
+    its rows come then.
+    """
+    rules = [
+        ("error_spikes", F.col("status").isin(list(statuses)), "status", _seconds(spike_width), -1),
+        ("trending_products", F.col("url").contains(marker), "url", _seconds(trending_width), trending_more_than),
+        ("suspicious_ips", F.lit(True), "ip", _seconds(suspicious_width), suspicious_more_than),
+    ]
+    if watermark is not None:
+        logs = logs.withWatermark("ts", watermark)
+    second = F.unix_seconds("ts")
+    counted = F.filter(
+        F.array(*[
+            F.when(
+                condition,
+                F.struct(
+                    F.lit(name).alias("alert"),
+                    (second - F.pmod(second, F.lit(width))).alias("start"),
+                    F.col(item).cast("string").alias("item"),
+                ),
+            )
+            for name, condition, item, width, _ in rules
+        ]),
+        lambda row: row.isNotNull(),
+    )
+    outer = f"{math.lcm(*[width for *_, width, _ in rules])} seconds"
+    counts = (
+        logs.where(F.col("ts").isNotNull())
+        .select("ts", F.inline(counted))
+        .groupBy(F.window("ts", outer), "alert", "start", "item")
+        .agg(F.count("*").alias("requests"))
+    )
+    per_alert = lambda value: F.coalesce(*[F.when(F.col("alert") == name, F.lit(value(rule))) for name, *rule in rules])
+    return counts.where(F.col("requests") > per_alert(lambda rule: rule[-1])).select(
+        "alert",
+        F.timestamp_seconds("start").alias("window_start"),
+        F.timestamp_seconds(F.col("start") + per_alert(lambda rule: rule[-2])).alias("window_end"),
+        "item",
+        "requests",
+    )
+
+
 def status_counts(logs: DataFrame) -> DataFrame:
     """Requests per status over all time; messages without one count under NULL."""
     return logs.groupBy("status").agg(F.count("*").alias("requests"))

@@ -22,7 +22,7 @@ from hitscope.fixed_values import (
     STREAM_URL_PATTERN,
     UNKNOWN_PATH_CATEGORY,
 )
-from hitscope.plans.inputs import line_sql
+from hitscope.plans.inputs import LATE_EVERY, LATENESS, PART_DAYS, line_sql
 
 _TIME_FORM = "%d/%b/%Y:%H:%M:%S"
 
@@ -75,20 +75,9 @@ _LOG_COLUMNS = "event_id, ip, ts, method, url, status, response_size, product_id
 _BASIC_COLUMNS = "event_id, ip, timestamp_text, method, url, status, response_size"
 
 
-def _tokens(burst: bool) -> str:
-    token = lambda i: f"string_split(value, ' ')[{i + 1}]"
-    time_text = f"ltrim({token(3)}, '[') || ' ' || rtrim(coalesce({token(4)}, ''), ']')"
+def _regex(burst: bool = False) -> str:
     return f"""
     WITH lines AS ({line_sql(burst)}),
-    logs AS (
-      SELECT event_id, {token(0)} AS ip, {_utc(time_text)} AS ts, ltrim({token(5)}, '"') AS method,
-        {token(6)} AS url, TRY_CAST({token(8)} AS INTEGER) AS status
-      FROM lines)
-    """
-
-
-_REGEX = f"""
-    WITH lines AS ({line_sql()}),
     logs AS (
       SELECT event_id, string_split(value, ' ')[1] AS ip,
         regexp_extract(value, '{STREAM_TIME_PATTERN}', 1) AS timestamp_text,
@@ -101,6 +90,21 @@ _REGEX = f"""
     """
 
 
+def _tokens(burst: bool) -> str:
+    token = lambda i: f"string_split(value, ' ')[{i + 1}]"
+    time_text = f"ltrim({token(3)}, '[') || ' ' || rtrim(coalesce({token(4)}, ''), ']')"
+    return f"""
+    WITH lines AS ({line_sql(burst)}),
+    logs AS (
+      SELECT event_id, {token(0)} AS ip, {_utc(time_text)} AS ts, ltrim({token(5)}, '"') AS method,
+        {token(6)} AS url, TRY_CAST({token(8)} AS INTEGER) AS status
+      FROM lines)
+    """
+
+
+_REGEX = _regex()
+
+
 def _count(logs: str, key: str, name: str = "requests", where: str = "true", rest: str = "") -> str:
     return f"{logs} SELECT {key}, count(*) AS {name} FROM logs WHERE {where} GROUP BY {key} {rest}"
 
@@ -137,6 +141,21 @@ _TOGETHER = " UNION ALL ".join(
     ]
 )
 
+# A line of a window that was over, by the latest time of the parts before and the lateness allowed, is lost;
+# windows that are not over at the end stay in the state.
+_WATERMARKED = f"""{_tokens(False)},
+    spikes AS (
+      SELECT l.ts, l.status, day(e.ts) // {PART_DAYS} + CASE WHEN event_id % {LATE_EVERY} = 0 THEN 1 ELSE 0 END AS part,
+        time_bucket(INTERVAL '5 minutes', l.ts) AS window_start
+      FROM logs l JOIN events e USING (event_id) WHERE l.ts IS NOT NULL AND l.status IN (404, 500)),
+    parts AS (SELECT part, max(ts) AS latest FROM spikes GROUP BY part),
+    marks AS (SELECT part, max(latest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM parts)
+    SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, status, count(*) AS requests
+    FROM spikes JOIN marks USING (part)
+    WHERE before IS NULL OR window_start + INTERVAL '5 minutes' > before - INTERVAL '{LATENESS}'
+    GROUP BY window_start, status
+    HAVING window_start + INTERVAL '5 minutes' <= (SELECT max(ts) FROM spikes) - INTERVAL '{LATENESS}'"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_log_lines": f"SELECT value FROM ({line_sql()})",
     "kv_text_roundtrip": """
@@ -201,4 +220,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_trending_products": _TRENDING,
     "stream_suspicious_ips": _SUSPICIOUS,
     "stream_alerts_together": _TOGETHER,
+    "stream_alerts_one_read": _TOGETHER,
+    "stream_watermarked_spikes": _WATERMARKED,
+    "stream_compacted_counts": _count(_regex(burst=True), "status"),
 }

@@ -41,6 +41,9 @@ _CHECK_BURST_DATE = (
     "strftime(timestamp '2024-01-01 00:00:00' + to_seconds(event_id * 3 // 100), '%d/%b/%Y:%H:%M:%S')"
 )
 
+#: The log that comes in parts of so many days, one of so many lines a part late, and how late a line may be.
+PART_DAYS, LATE_EVERY, LATENESS = 10, 7, "6 hours"
+
 # A micro-batch is what a failure repeats.
 _BATCH_BYTES = 256 << 30
 
@@ -49,8 +52,8 @@ def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
-def with_log_line(events: DataFrame, burst: bool = False) -> DataFrame:
-    """``event_id`` and the line of each event, as ``value``.
+def with_log_line(events: DataFrame, burst: bool = False, more: str | None = None) -> DataFrame:
+    """``event_id`` and the line of each event, as ``value``, with *more*, an expression on the event.
 
     *burst* packs the same events into 2,000 lines a minute from ten addresses,
     the traffic that the alert limits are made for.
@@ -60,7 +63,7 @@ def with_log_line(events: DataFrame, burst: bool = False) -> DataFrame:
         date=_SPARK_BURST_DATE if burst else _SPARK_SPREAD_DATE,
         string="STRING",
     )
-    return events.selectExpr("event_id", f"{line} AS value")
+    return events.selectExpr("event_id", f"{line} AS value", *([more] if more else []))
 
 
 def log_lines(spark: SparkSession, sf_dir: str, burst: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hitscope import operators as op
 from hitscope.functions import two_decimals, utc_wall_clock
-from hitscope.plans.inputs import events_path, log_line_stream, log_lines
+from hitscope.plans.inputs import LATE_EVERY, LATENESS, PART_DAYS, events_path, log_line_stream, log_lines, with_log_line
 from hitscope.plans.programs import one_read_program
 from hitscope.plans.shared import shared_path
 from hitscope.sources import (
@@ -24,10 +24,13 @@ from hitscope.sources import (
 )
 from hitscope.streaming import (
     ALERT_KEYS,
+    ALL_ALERTS_KEYS,
     append_batch,
     await_all,
+    compact_changelog,
     read_changelog,
     start_alerts,
+    start_all_alerts,
     start_query,
     stream_session,
 )
@@ -75,15 +78,18 @@ def _streamed(
     return run
 
 
-def _alerts_together(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
-    """The three alerts in one session on a text log that arrives in *batches* micro-batches, folded."""
-    root = shared_path(spark, "alerts")
+def _arriving(spark: SparkSession, sf_dir: str, root: str, batches: int = 4) -> DataFrame:
+    """A burst of the log as a text source that arrives in *batches* micro-batches."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = log_lines(spark, sf_dir, burst=True)
     lines.repartition(batches * width, "event_id").select("value").write.text(f"{root}/log")
-    session = stream_session(spark)
-    arriving = read_log_stream(session, "text", {"path": f"{root}/log", "maxFilesPerTrigger": str(width)})
-    logs = op.parse_stream_tokens(arriving)
+    return read_log_stream(stream_session(spark), "text", {"path": f"{root}/log", "maxFilesPerTrigger": str(width)})
+
+
+def _alerts_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three alerts in one session on a log that arrives in several micro-batches, folded."""
+    root = shared_path(spark, "alerts")
+    logs = op.parse_stream_tokens(_arriving(spark, sf_dir, root))
     sink_of = lambda name: append_batch(path=f"{root}/{name}")
     await_all(start_alerts(logs, f"{root}/checkpoints", sink_of, trigger={"availableNow": True}))
 
@@ -97,6 +103,49 @@ def _alerts_together(spark: SparkSession, sf_dir: str, batches: int = 4) -> Data
     return _in_utc(spikes.union(trending).union(suspicious))
 
 
+def _alerts_one_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from one query: one read of the source and one state."""
+    root = shared_path(spark, "alerts")
+    logs = op.parse_stream_tokens(_arriving(spark, sf_dir, root))
+    sink = append_batch(path=f"{root}/changelog")
+    await_all([start_all_alerts(logs, f"{root}/checkpoints", sink, trigger={"availableNow": True})])
+    changelog = read_changelog(spark, f"{root}/changelog", op.all_alerts(logs).schema, missing_ok=True)
+    return _in_utc(op.latest_counts(changelog, ALL_ALERTS_KEYS))
+
+
+def _compacted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests per status of several micro-batches, folded twice on the way to the result."""
+    root = shared_path(spark, "compacted")
+    counts = op.status_counts(op.parse_stream_regex(_arriving(spark, sf_dir, root)))
+    query = start_query(
+        counts, f"status-{uuid4().hex}", f"{root}/checkpoint", append_batch(path=f"{root}/changelog"), trigger={"availableNow": True}
+    )
+    await_all([query])
+    for up_to in (0, None):
+        compact_changelog(spark, f"{root}/changelog", ["status"], counts.schema, up_to)
+    return op.latest_counts(read_changelog(spark, f"{root}/changelog", counts.schema), ["status"])
+
+
+def _watermarked_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error spikes in append mode, with a watermark, on a log of which every seventh line comes ten days late.
+
+    Each of the five parts of the log is one run of the query, so the order of the batches is fixed: windows leave when they
+    close, and lines that come after that are dropped.
+    """
+    root = shared_path(spark, "watermarked")
+    part = f"(day(ts) div {PART_DAYS} + CASE WHEN event_id % {LATE_EVERY} = 0 THEN 1 ELSE 0 END)"
+    lines = with_log_line(spark.read.parquet(events_path(sf_dir)), more=f"{part} AS part")
+    for number in range(5):
+        lines.where(F.col("part") == number).select("value").write.mode("append").text(f"{root}/log")
+        arriving = read_log_stream(stream_session(spark), "text", {"path": f"{root}/log"})
+        spikes = op.error_spikes(op.parse_stream_tokens(arriving), watermark=LATENESS)
+        query = start_query(
+            spikes, f"spikes-{uuid4().hex}", f"{root}/checkpoint", append_batch(path=f"{root}/closed"), "append", {"availableNow": True}
+        )
+        await_all([query])
+    return _in_utc(read_changelog(spark, f"{root}/closed", spikes.schema, missing_ok=True).drop("batch_id"))
+
+
 def _scan_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "log")
     log_lines(spark, sf_dir).select("value").write.text(path)
@@ -182,4 +231,7 @@ QUERIES: dict[str, Query] = {
     "stream_trending_products": _streamed(op.trending_products, ALERT_KEYS["trending_products"], True),
     "stream_suspicious_ips": _streamed(op.suspicious_ips, ALERT_KEYS["suspicious_ips"], True),
     "stream_alerts_together": _alerts_together,
+    "stream_alerts_one_read": _alerts_one_read,
+    "stream_watermarked_spikes": _watermarked_spikes,
+    "stream_compacted_counts": _compacted_counts,
 }

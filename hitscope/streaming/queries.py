@@ -3,7 +3,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from hitscope.operators import error_spikes, suspicious_ips, trending_products
+from hitscope.operators import all_alerts, error_spikes, suspicious_ips, trending_products
 from hitscope.streaming.sinks import print_batch
 
 Sink = str | Callable[[DataFrame, int], None]
@@ -14,6 +14,8 @@ ALERT_KEYS = {
     "trending_products": ("window_start", "window_end", "url"),
     "suspicious_ips": ("window_start", "window_end", "ip"),
 }
+#: The same for the rows of ``all_alerts``.
+ALL_ALERTS_KEYS = ("alert", "window_start", "window_end", "item")
 
 
 def start_query(
@@ -75,6 +77,19 @@ def start_alerts(
     ]
 
 
+def start_all_alerts(
+    logs: DataFrame,
+    checkpoint_root: str,
+    sink: Sink = print_batch,
+    mode: str = "update",
+    trigger: Mapping[str, str | bool] | None = None,
+    watermark: str | None = None,
+) -> StreamingQuery:
+    """Start the three alerts on a parsed stream as one query with one reader and one state."""
+    checkpoint = f"{checkpoint_root.rstrip('/')}/all_alerts"
+    return start_query(all_alerts(logs, watermark=watermark), "all_alerts", checkpoint, sink, mode, trigger)
+
+
 def await_all(queries: Sequence[StreamingQuery], poll_seconds: int = 1) -> None:
     """Wait until every query ends; raise as soon as any of them fails.
 
