@@ -1,8 +1,9 @@
 """Run a program from the command line, as ``spark-submit`` or ``python -m hitscope``.
 
-    report  --format current --log PATH [--out DIR] [--one-read DIR]
-    alerts  --source kafka --option subscribe=access-log ... --checkpoint DIR
+    report  --format current --log PATH [--out DIR] [--one-read DIR | --separately]
+    alerts  --source kafka --option subscribe=access-log ... --checkpoint DIR [--one-read]
     status  --source kafka --option subscribe=access-log ... --checkpoint DIR --out DIR
+    compact --path DIR --keys status --schema "status INT, requests BIGINT"
 """
 
 import argparse
@@ -18,9 +19,18 @@ from hitscope.operators import (
     parse_stream_tokens,
     status_counts,
 )
-from hitscope.plans import basic_program, current_program, extended_program, one_read_program
+from hitscope.plans import basic_program, current_program, extended_program, one_read_program, report_at_once, shared_path
 from hitscope.sources import read_log_lines, read_log_stream
-from hitscope.streaming import append_batch, await_all, print_batch, start_alerts, start_query, stream_session
+from hitscope.streaming import (
+    append_batch,
+    await_all,
+    compact_changelog,
+    print_batch,
+    start_alerts,
+    start_all_alerts,
+    start_query,
+    stream_session,
+)
 
 _PROGRAMS = {"current": current_program, "extended": extended_program, "basic": basic_program}
 _PARSERS = {"current": parse_access_log, "extended": parse_extended_log, "basic": parse_basic_log}
@@ -36,6 +46,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     report.add_argument("--out", help="write one parquet table per analysis here instead of printing all rows")
     report.add_argument("--overwrite", action="store_true", help="replace what --out and --one-read hold")
     report.add_argument("--one-read", metavar="DIR", help="counting analyses only, from one read; keep the counts here")
+    report.add_argument("--separately", action="store_true", help="read the log once per analysis and keep no counts")
 
     for name, text in (("alerts", "the three alerts on a stream"), ("status", "running count per status")):
         stream = commands.add_parser(name, help=text)
@@ -49,8 +60,17 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         stream.add_argument("--trigger", metavar="INTERVAL", help="time between micro-batches, such as '1 minute'")
         stream.add_argument("--state-partitions", type=int)
         stream.add_argument("--until-caught-up", action="store_true", help="stop at the end of the input")
+        stream.add_argument("--ledger", metavar="DIR", help="note batches here, so that a store without a path gets each once")
         if name == "alerts":
             stream.add_argument("--watermark", help="lateness to allow for, such as '10 minutes'")
+            stream.add_argument("--one-read", action="store_true", help="one query for all three, with one read and one state")
+
+    compact = commands.add_parser("compact", help="fold the closed batches of a changelog")
+    compact.add_argument("--path", required=True, help="folder of the changelog")
+    compact.add_argument("--keys", required=True, help="columns that identify a row, with commas")
+    compact.add_argument("--schema", required=True, help="columns of the changelog without batch_id, such as 'status INT, requests BIGINT'")
+    compact.add_argument("--up-to", type=int, help="last batch to fold; the last but one if not given")
+    compact.add_argument("--sink-format", default="parquet")
     return parser.parse_args(argv)
 
 
@@ -64,8 +84,11 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
     mode = "overwrite" if args.overwrite else "errorifexists"
     if args.one_read:
         reports = one_read_program(_PARSERS[args.format](lines), args.one_read, mode)
-    else:
+    elif args.separately:
         reports = _PROGRAMS[args.format](lines)
+    else:
+        counts = f"{args.out.rstrip('/')}/_counts" if args.out else shared_path(spark, "report")
+        reports = report_at_once(lines, args.format, counts, mode)
     for name, result in reports.items():
         if args.out:
             result.write.mode(mode).parquet(f"{args.out.rstrip('/')}/{name}")
@@ -87,9 +110,13 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     def sink(name: str):
         if args.out:
             return append_batch(args.sink_format, f"{args.out.rstrip('/')}/{name}", args.files, **sink_options)
-        return append_batch(args.sink_format, files=args.files, **sink_options) if sink_options else print_batch
+        store = sink_options or args.ledger
+        return append_batch(args.sink_format, files=args.files, ledger=args.ledger, **sink_options) if store else print_batch
 
-    if args.command == "alerts":
+    if args.command == "alerts" and args.one_read:
+        logs = parse_stream_tokens(messages)
+        queries = [start_all_alerts(logs, args.checkpoint, sink("all_alerts"), trigger=trigger, watermark=args.watermark)]
+    elif args.command == "alerts":
         queries = start_alerts(
             parse_stream_tokens(messages), args.checkpoint, sink, trigger=trigger, watermark=args.watermark
         )
@@ -100,10 +127,15 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     await_all(queries)
 
 
+def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    schema = spark.createDataFrame([], args.schema).schema
+    print(compact_changelog(spark, args.path, args.keys.split(","), schema, args.up_to, args.sink_format))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = SparkSession.builder.appName("hitscope").getOrCreate()
-    (_report if args.command == "report" else _stream)(spark, args)
+    {"report": _report, "compact": _compact}.get(args.command, _stream)(spark, args)
 
 
 if __name__ == "__main__":

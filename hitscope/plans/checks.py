@@ -141,6 +141,16 @@ _TOGETHER = " UNION ALL ".join(
     ]
 )
 
+_TOP_PRODUCTS = _count(
+    _EXTENDED,
+    "product_id",
+    "views",
+    "product_id IS NOT NULL"
+    f" AND ts BETWEEN TIMESTAMP '{PRODUCT_RANGE_START}' AND TIMESTAMP '{PRODUCT_RANGE_END}'",
+    "ORDER BY views DESC, product_id LIMIT 10",
+)
+_ERROR_URLS = f"""{_CURRENT} SELECT url, status, category FROM logs WHERE status >= 400
+        ORDER BY ts NULLS LAST, url, status, event_id LIMIT 10"""
 # A line of a window that was over, by the latest time of the parts before and the lateness allowed, is lost;
 # windows that are not over at the end stay in the state.
 _WATERMARKED = f"""{_tokens(False)},
@@ -171,14 +181,7 @@ ORACLE_SQL: dict[str, str] = {
     "preview_lines": f"SELECT * FROM ({line_sql()}) ORDER BY event_id LIMIT 10",
     "preview_parsed": f"{_BASIC} SELECT {_BASIC_COLUMNS} FROM logs ORDER BY event_id LIMIT 10",
     "product_views": _count(_CURRENT, "product_id", "views", "product_id IS NOT NULL"),
-    "top_products": _count(
-        _EXTENDED,
-        "product_id",
-        "views",
-        "product_id IS NOT NULL"
-        f" AND ts BETWEEN TIMESTAMP '{PRODUCT_RANGE_START}' AND TIMESTAMP '{PRODUCT_RANGE_END}'",
-        "ORDER BY views DESC, product_id LIMIT 10",
-    ),
+    "top_products": _TOP_PRODUCTS,
     "status_distribution":
         f"{_CURRENT} SELECT status, {_LABEL} AS label, count(*) AS requests FROM logs GROUP BY status",
     "requests_by_ip": _count(_CURRENT, "ip"),
@@ -197,8 +200,7 @@ ORACLE_SQL: dict[str, str] = {
     "least_urls": _count(_BASIC, "url", rest="ORDER BY requests, url LIMIT 3"),
     "response_sizes": f"{_BASIC} SELECT response_size FROM logs",
     "avg_response_size": f"{_BASIC} SELECT {_SIZE_MEAN} AS avg_response_size FROM logs",
-    "error_urls": f"""{_CURRENT} SELECT url, status, category FROM logs WHERE status >= 400
-        ORDER BY ts NULLS LAST, url, status, event_id LIMIT 10""",
+    "error_urls": _ERROR_URLS,
     "traffic_rollup": _ROLLUP,
     "one_read_top_urls": _count(_CURRENT, "url", rest="ORDER BY requests DESC, url LIMIT 5"),
     "one_read_product_views": _count(_CURRENT, "product_id", "views", "product_id IS NOT NULL"),
@@ -211,6 +213,9 @@ ORACLE_SQL: dict[str, str] = {
     "one_read_avg_response_size": f"{_CURRENT} SELECT {_SIZE_MEAN} AS avg_response_size FROM logs",
     "one_read_method_distribution": _count(_CURRENT, "method"),
     "one_read_least_urls": _count(_CURRENT, "url", rest="ORDER BY requests, url LIMIT 3"),
+    "at_once_error_urls": _ERROR_URLS,
+    "at_once_top_products": _TOP_PRODUCTS,
+    "at_once_most_active_ip": _count(_BASIC, "ip", rest="ORDER BY requests DESC, ip LIMIT 1"),
     "status_counts": _STATUS_COUNTS,
     "error_spikes": _SPIKES,
     "trending_products": _TRENDING,

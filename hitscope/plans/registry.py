@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hitscope import operators as op
 from hitscope.functions import two_decimals, utc_wall_clock
 from hitscope.plans.inputs import LATE_EVERY, LATENESS, PART_DAYS, events_path, log_line_stream, log_lines, with_log_line
-from hitscope.plans.programs import one_read_program
+from hitscope.plans.programs import one_read_program, report_at_once
 from hitscope.plans.shared import shared_path
 from hitscope.sources import (
     decode_messages,
@@ -165,6 +165,11 @@ def _one_read(report: str) -> Query:
     return run
 
 
+def _at_once(line_format: str, report: str) -> Query:
+    """A report of a format's program, all of which come from one read."""
+    return lambda spark, sf_dir: report_at_once(log_lines(spark, sf_dir), line_format, shared_path(spark, "report"))[report]
+
+
 def _kv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "key-value")
     pairs = spark.read.parquet(events_path(sf_dir)).selectExpr(
@@ -220,6 +225,9 @@ QUERIES: dict[str, Query] = {
     "one_read_avg_response_size": _one_read("avg_response_size"),
     "one_read_method_distribution": _one_read("method_distribution"),
     "one_read_least_urls": _one_read("least_urls"),
+    "at_once_error_urls": _at_once("current", "error_urls"),
+    "at_once_top_products": _at_once("extended", "top_products"),
+    "at_once_most_active_ip": _at_once("basic", "most_active_ip"),
     # Alerts on a table.
     "status_counts": _analysed(op.status_counts, op.parse_stream_regex),
     "error_spikes": _alert(op.error_spikes, burst=False),
