@@ -2,6 +2,8 @@
 
 from hitscope.operators.alerts import all_alerts, error_spikes, status_counts, suspicious_ips, trending_products
 from hitscope.operators.analyses import (
+    COLUMNS,
+    analyse,
     avg_response_size,
     avg_size_by_category,
     error_urls,
@@ -33,9 +35,11 @@ from hitscope.operators.parsing import (
 from hitscope.operators.rollup import traffic_rollup
 
 __all__ = [
+    "COLUMNS",
     "LOG_SCHEMA",
     "PARSED_SCHEMA",
     "all_alerts",
+    "analyse",
     "avg_response_size",
     "avg_size_by_category",
     "error_spikes",

@@ -6,7 +6,7 @@ key as second order, which fixes ties, and plan as a bounded heap per task.
 Only the parsed columns an analysis names are computed.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -125,3 +125,28 @@ def error_urls(logs: DataFrame, n: int = ERROR_URLS) -> DataFrame:
 def preview(rows: DataFrame, n: int = PREVIEW_ROWS, order_by: Sequence[str] = ()) -> DataFrame:
     """First ``n`` rows in the given order, or any ``n`` of the first partitions without one."""
     return (rows.orderBy(*order_by) if order_by else rows).limit(n)
+
+
+#: Columns of a parsed log that an analysis reads, for a parser's ``columns``.
+COLUMNS = {
+    product_views: ("product_id",),
+    top_products: ("product_id", "ts"),
+    status_distribution: ("status",),
+    requests_by_ip: ("ip",),
+    top_ips: ("ip",),
+    most_active_ip: ("ip",),
+    avg_size_by_category: ("category", "response_size"),
+    total_requests: (),
+    method_distribution: ("method",),
+    requests_by_url: ("url",),
+    top_urls: ("url",),
+    least_urls: ("url",),
+    response_sizes: ("response_size",),
+    avg_response_size: ("response_size",),
+    error_urls: ("url", "status", "category", "ts"),
+}
+
+
+def analyse(lines: DataFrame, analysis: Callable[..., DataFrame], parser: Callable[..., DataFrame], *args) -> DataFrame:
+    """An analysis of raw lines by a parser of whole logs, which takes no more of a line apart than the analysis reads."""
+    return analysis(parser(lines, columns=COLUMNS.get(analysis)), *args)

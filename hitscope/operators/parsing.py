@@ -6,6 +6,7 @@ returns exactly those. The stream parsers drop nothing and give NULL for what a
 message lacks.
 """
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -69,66 +70,107 @@ STREAM_URL = r'(?m)^(?>.*?"\w+ )(.*?) HTTP'
 _FIELDS = ("ip", "time_text", "method", "url", "status_text", "size_text")
 
 
-def _matched_fields(lines: DataFrame, line_format: str, keep: Sequence[str]) -> DataFrame:
-    """The six raw fields of each line that matches, from one regex pass.
+def one_field_pattern(line_format: str, field: str) -> tuple[str, int]:
+    """The line pattern with one group, and how many characters that group takes beyond the field.
+
+    A field that may be empty is taken with the text that ends it, so that only
+    a line that does not match gives an empty group.
+    """
+    pattern, capturing = LINE_FORMATS[line_format], r"\((?!\?)"
+    at = [m.start() for m in re.finditer(capturing, pattern)][_FIELDS.index(field)]
+    lazy = re.match(r"\(\.\*\?\)([^()]*)\)", pattern[at:])
+    end = at + lazy.end() if lazy else pattern.index(")", at) + 1
+    own = f"(.*?{lazy[1]}))" if lazy else pattern[at:end]
+    plain = lambda text: re.sub(capturing, "(?:", text)
+    return f"(?d)^{plain(pattern[:at])}{own}{plain(pattern[end:])}", len(lazy[1].replace("\\", "")) if lazy else 0
+
+
+def _matched_fields(lines: DataFrame, line_format: str, keep: Sequence[str], wanted: Sequence[str] = _FIELDS) -> DataFrame:
+    """The wanted raw fields of each line that matches, from one regex pass.
 
     A filter plus one ``regexp_extract`` per field would run the pattern up to
-    seven times. Here the whole line is rewritten to its groups, one per row of
-    text (no group can hold a line feed), or to six empty ones if it does not
+    seven times. For no field a filter will do, for one a single
+    ``regexp_extract``. Else the whole line is rewritten to its groups, one per row of
+    text (no group can hold a line feed), or to as many empty ones if it does not
     match, and ``inline`` emits a row only for the former.
     """
+    if not wanted:
+        return lines.where(F.col("value").rlike("(?d)^" + LINE_FORMATS[line_format])).select(*keep)
+    if len(wanted) == 1:
+        pattern, beyond = one_field_pattern(line_format, wanted[0])
+        row = F.struct(F.regexp_extract("value", pattern, 1).alias("found"))
+        found = lines.select(*keep, F.inline(F.array(row))).where("found != ''")
+        field = F.expr(f"left(found, char_length(found) - {beyond})") if beyond else F.col("found")
+        return found.select(*keep, field.alias(wanted[0]))
+    # The address comes first, as it is never empty.
+    taken = ["ip", *(f for f in _FIELDS if f in wanted and f != "ip")]
     whole_line = rf"(?d)(?:^{LINE_FORMATS[line_format]}(?s:.*)|^(?s:.*))"
-    groups = "\n".join(f"${i}" for i in range(1, len(_FIELDS) + 1))
+    groups = "\n".join(f"${_FIELDS.index(f) + 1}" for f in taken)
     fields = F.col("fields")
-    row = F.struct(*[fields[i].alias(name) for i, name in enumerate(_FIELDS)])
+    row = F.struct(*[fields[i].alias(name) for i, name in enumerate(taken)])
     return lines.select(
         *keep, F.split(F.regexp_replace("value", whole_line, groups), "\n").alias("fields")
     ).select(*keep, F.inline(F.when(fields[0] != "", F.array(row))))
 
 
 def _parse(
-    lines: DataFrame, line_format: str, keep: Sequence[str], product_id: Column, category: Column
+    lines: DataFrame,
+    line_format: str,
+    keep: Sequence[str],
+    columns: Sequence[str] | None,
+    derived: Mapping[str, tuple[str, Column]],
 ) -> DataFrame:
-    return _matched_fields(lines, line_format, keep).select(
-        *keep,
-        "ip",
-        request_time(F.col("time_text")).alias("ts"),
-        "method",
-        "url",
-        F.col("status_text").try_cast("bigint").alias("status"),
-        F.col("size_text").try_cast("bigint").alias("response_size"),
-        product_id.alias("product_id"),
-        category.alias("category"),
-    )
+    """The columns asked for, in the order of *derived*, which has the raw field and the expression of each."""
+    unknown = set(columns or ()) - derived.keys()
+    if unknown:
+        raise ValueError(f"no such columns of a parsed line: {', '.join(sorted(unknown))}")
+    asked = {name: derived[name] for name in derived if columns is None or name in columns}
+    wanted = [f for f in _FIELDS if any(field == f for field, _ in asked.values())]
+    fields = _matched_fields(lines, line_format, keep, wanted)
+    return fields.select(*keep, *[column.alias(name) for name, (_, column) in asked.items()])
+
+
+def _parsed_columns(product_id: Column, category: Column) -> dict[str, tuple[str, Column]]:
+    return {
+        "ip": ("ip", F.col("ip")),
+        "ts": ("time_text", request_time(F.col("time_text"))),
+        "method": ("method", F.col("method")),
+        "url": ("url", F.col("url")),
+        "status": ("status_text", F.col("status_text").try_cast("bigint")),
+        "response_size": ("size_text", F.col("size_text").try_cast("bigint")),
+        "product_id": ("url", product_id),
+        "category": ("url", category),
+    }
 
 
 def parse_access_log(
     lines: DataFrame,
     keep: Sequence[str] = (),
     categories: Mapping[str, Sequence[str]] = PRODUCT_CATEGORIES,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Current format; product id from the query string, category from the word table."""
+    """Current format; product id from the query string, category from the word table.
+
+    Here and in the other two parsers of whole logs, *columns* are those that the result shall have (all by default): the
+    fewer, the less of a line is taken apart.
+    """
     url = F.col("url")
-    return _parse(lines, "current", keep, product_id_from_query(url), product_category(url, categories))
+    derived = _parsed_columns(product_id_from_query(url), product_category(url, categories))
+    return _parse(lines, "current", keep, columns, derived)
 
 
-def parse_extended_log(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def parse_extended_log(lines: DataFrame, keep: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """Lines with referer, agent and a trailing number; product id and category from the path."""
     url = F.col("url")
-    return _parse(lines, "extended", keep, product_id_from_path(url), category_from_path(url))
+    return _parse(lines, "extended", keep, columns, _parsed_columns(product_id_from_path(url), category_from_path(url)))
 
 
-def parse_basic_log(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def parse_basic_log(lines: DataFrame, keep: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """Six plain columns, time left as text."""
-    return _matched_fields(lines, "basic", keep).select(
-        *keep,
-        "ip",
-        F.col("time_text").alias("timestamp_text"),
-        "method",
-        "url",
-        F.col("status_text").try_cast("bigint").alias("status"),
-        F.col("size_text").try_cast("bigint").alias("response_size"),
-    )
+    plain = _parsed_columns(F.lit(None), F.lit(None))
+    derived = {"ip": plain["ip"], "timestamp_text": ("time_text", F.col("time_text"))}
+    derived |= {name: plain[name] for name in ("method", "url", "status", "response_size")}
+    return _parse(lines, "basic", keep, columns, derived)
 
 
 def malformed_lines(lines: DataFrame, line_format: str = "current") -> DataFrame:

@@ -20,6 +20,7 @@ from hitscope.fixed_values import (
 )
 from hitscope.functions import status_label
 from hitscope.operators import (
+    analyse,
     avg_response_size,
     avg_size_by_category,
     error_urls,
@@ -43,15 +44,15 @@ from hitscope.operators.rollup import ROLLUP_DIMENSIONS, failed_request, failed_
 
 def current_program(lines: DataFrame) -> dict[str, DataFrame]:
     """Report on a log in the current format."""
-    logs = parse_access_log(lines)
+    of = lambda analysis: analyse(lines, analysis, parse_access_log)
     return {
-        "product_views": product_views(logs),
-        "status_distribution": status_distribution(logs),
-        "top_ips": top_ips(logs),
-        "avg_size_by_category": avg_size_by_category(logs),
-        "total_requests": total_requests(logs),
-        "method_distribution": method_distribution(logs),
-        "error_urls": error_urls(logs),
+        "product_views": of(product_views),
+        "status_distribution": of(status_distribution),
+        "top_ips": of(top_ips),
+        "avg_size_by_category": of(avg_size_by_category),
+        "total_requests": of(total_requests),
+        "method_distribution": of(method_distribution),
+        "error_urls": of(error_urls),
     }
 
 
@@ -61,30 +62,30 @@ def extended_program(
     end: datetime | str = PRODUCT_RANGE_END,
 ) -> dict[str, DataFrame]:
     """Report on a log in the extended format."""
-    logs = parse_extended_log(lines)
+    of = lambda analysis, *args: analyse(lines, analysis, parse_extended_log, *args)
     return {
-        "top_products": top_products(logs, start, end),
-        "status_distribution": status_distribution(logs).drop("label"),
-        "top_ips": top_ips(logs),
-        "avg_size_by_category": avg_size_by_category(logs),
-        "total_requests": total_requests(logs),
-        "top_urls": top_urls(logs),
-        "method_distribution": method_distribution(logs),
+        "top_products": of(top_products, start, end),
+        "status_distribution": of(status_distribution).drop("label"),
+        "top_ips": of(top_ips),
+        "avg_size_by_category": of(avg_size_by_category),
+        "total_requests": of(total_requests),
+        "top_urls": of(top_urls),
+        "method_distribution": of(method_distribution),
     }
 
 
 def basic_program(lines: DataFrame) -> dict[str, DataFrame]:
     """Report on a log in the basic format, with previews of the input."""
-    logs = parse_basic_log(lines)
+    of = lambda analysis: analyse(lines, analysis, parse_basic_log)
     return {
         "preview_lines": preview(lines),
-        "preview_parsed": preview(logs),
-        "total_requests": total_requests(logs),
-        "top_urls": top_urls(logs),
-        "least_urls": least_urls(logs),
-        "method_distribution": method_distribution(logs),
-        "avg_response_size": avg_response_size(logs),
-        "most_active_ip": most_active_ip(logs),
+        "preview_parsed": preview(parse_basic_log(lines)),
+        "total_requests": of(total_requests),
+        "top_urls": of(top_urls),
+        "least_urls": of(least_urls),
+        "method_distribution": of(method_distribution),
+        "avg_response_size": of(avg_response_size),
+        "most_active_ip": of(most_active_ip),
     }
 
 

@@ -48,6 +48,8 @@ def _parsed(parser: Callable[..., DataFrame]) -> Query:
 
 
 def _analysed(analysis: Callable[[DataFrame], DataFrame], parser=op.parse_access_log) -> Query:
+    if analysis in op.COLUMNS:
+        return lambda spark, sf_dir: op.analyse(log_lines(spark, sf_dir), analysis, parser)
     return lambda spark, sf_dir: analysis(parser(log_lines(spark, sf_dir)))
 
 
@@ -153,7 +155,7 @@ def _scan_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _avg_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = op.avg_size_by_category(op.parse_access_log(log_lines(spark, sf_dir)))
+    means = op.analyse(log_lines(spark, sf_dir), op.avg_size_by_category, op.parse_access_log)
     return means.select("category", two_decimals(F.col("avg_response_size")).alias("avg_size_text"))
 
 

@@ -120,3 +120,50 @@ def test_alert_limits_and_windows(spark):
     assert alert(op.error_spikes(logs)) == [("07:00", "07:05", 404, 100), ("07:05", "07:10", 500, 1)]
     assert alert(op.error_spikes(logs, [200], "1 hour")) == [("07:00", "08:00", 200, 142)]
     assert sorted(_rows(op.status_counts(logs)), key=str) == [(200, 142), (404, 100), (500, 1), (None, 2)]
+
+
+@pytest.mark.parametrize("sample_rows", [10_000, 30, 1])
+@pytest.mark.parametrize("line_format", ["current", "extended", "basic"])
+def test_reports_at_once_equal_the_programs(spark, monkeypatch, line_format, sample_rows):
+    """On a log in no order, with repeated failed requests and some without a time, whatever the sample shows."""
+    from hitscope.operators import rollup
+    from hitscope.plans import report_at_once
+
+    made = log_lines(spark, SF_DIR).orderBy(F.xxhash64("event_id")).select("value")
+    own = [v for v in LINES.values()] * 3 + [_line("1.1.1.1", 3, "/same", 500)] * 4
+    lines = made.union(spark.createDataFrame([(v,) for v in own], "value STRING"))
+    monkeypatch.setattr(rollup.failed_until, "__defaults__", (sample_rows,))
+    program = {"current": current_program, "extended": extended_program, "basic": basic_program}[line_format](lines)
+    at_once = report_at_once(lines, line_format, shared_path(spark, "rollup"))
+    assert list(at_once) == list(program)
+    for name, report in program.items():
+        assert at_once[name].columns == report.columns
+        if not name.startswith("preview"):
+            ordered = name in ("error_urls", "top_ips", "top_products", "top_urls", "least_urls")
+            order = list if ordered else (lambda rows: sorted(rows, key=str))
+            assert order(_rows(at_once[name])) == order(_rows(report)), name
+
+
+@pytest.mark.parametrize("statuses", [[], [500], [500] * 9, [500] * 30])
+def test_failed_requests_at_once_when_there_are_few(spark, statuses):
+    from hitscope.plans import report_at_once
+
+    lines = [_line("1.1.1.1", 50 - i, f"/u{i % 4}", status) for i, status in enumerate([200] * 20 + statuses)]
+    lines += [LINES["bad_date"].replace(" 200 ", " 404 "), LINES["huge_numbers"].replace("99999999999 ", "9" * 30 + " ")]
+    table = spark.createDataFrame([(v,) for v in lines], "value STRING")
+    at_once = report_at_once(table, "current", shared_path(spark, "rollup"))["error_urls"]
+    assert _rows(at_once) == _rows(current_program(table)["error_urls"])
+    assert len(_rows(at_once)) == min(10, len(statuses) + 2)
+
+
+@pytest.mark.parametrize("sf_dir", [SF_DIR])
+def test_all_alerts_equal_the_three(spark, sf_dir):
+    logs = op.parse_stream_tokens(log_lines(spark, sf_dir, burst=True))
+    at_once = sorted(_rows(op.all_alerts(logs, suspicious_more_than=90, spike_width="7 minutes")))
+    singly = []
+    for name, alert in [
+        ("error_spikes", op.error_spikes(logs, width="7 minutes")), ("trending_products", op.trending_products(logs)),
+        ("suspicious_ips", op.suspicious_ips(logs, 90)),
+    ]:
+        singly += [(name, start, end, str(item), n) for start, end, item, n in _rows(alert)]
+    assert at_once == sorted(singly) and {row[0] for row in at_once} >= {"suspicious_ips"}

@@ -81,3 +81,38 @@ def test_status(spark, log, tmp_path):
     counts = {r.status: r.requests for r in spark.read.parquet(f"{out}/status_counts").collect()}
     # The line that starts with junk has its 1 where a status would be.
     assert counts == {404: 2, 200: 3, 304: 1, 1: 1, None: 3}
+
+
+@pytest.mark.parametrize("line_format", ["current", "extended", "basic"])
+def test_reports_are_the_same_from_one_read_and_separately(spark, log, tmp_path, line_format):
+    common = ["report", "--log", log, "--format", line_format, "--out"]
+    main([*common, str(tmp_path / "at-once")])
+    main([*common, str(tmp_path / "singly"), "--separately"])
+    names = sorted(p.name for p in (tmp_path / "singly").iterdir())
+    assert sorted(p.name for p in (tmp_path / "at-once").iterdir()) == ["_counts", *names]
+    for name in names:
+        if not name.startswith("preview"):
+            rows = lambda root: sorted(map(str, spark.read.parquet(str(tmp_path / root / name)).collect()))
+            assert rows("at-once") == rows("singly"), name
+
+
+def test_alerts_from_one_read(spark, log, tmp_path):
+    out = str(tmp_path / "out")
+    main(["alerts", "--source", "text", "--option", f"path={log}", "--checkpoint", str(tmp_path / "checkpoint"),
+          "--out", out, "--state-partitions", "2", "--until-caught-up", "--one-read"])
+    lines = spark.createDataFrame([(v,) for v in LINES.values() if v], "value STRING")
+    expected = op.all_alerts(op.parse_stream_tokens(lines))
+    changelog = read_changelog(spark, f"{out}/all_alerts", expected.schema).drop("batch_id")
+    assert sorted(changelog.collect()) == sorted(expected.collect()) != []
+
+
+def test_compact(spark, tmp_path, capsys):
+    from hitscope.streaming import append_batch
+
+    sink = append_batch(path=str(tmp_path))
+    for n in range(3):
+        sink(spark.createDataFrame([(200, n)], "status INT, requests BIGINT"), n)
+    main(["compact", "--path", str(tmp_path), "--keys", "status", "--schema", "status INT, requests BIGINT"])
+    assert capsys.readouterr().out == "1\n"
+    changelog = read_changelog(spark, str(tmp_path), spark.createDataFrame([], "status INT, requests BIGINT").schema)
+    assert sorted(tuple(r) for r in changelog.collect()) == [(200, 1, 1), (200, 2, 2)]

@@ -170,3 +170,30 @@ def test_a_hostile_line_takes_one_read(spark, line_format):
     assert op.malformed_lines(df, line_format).count() == 1
     assert op.parsing._matched_fields(df, line_format, []).count() == 0
     assert time.perf_counter() - start < 20
+
+
+_PARSERS = [op.parse_access_log, op.parse_extended_log, op.parse_basic_log]
+
+
+@pytest.mark.parametrize("parser", _PARSERS)
+def test_columns_asked_for_equal_those_of_the_whole_parse(spark, parser):
+    """None, each alone and each two, on lines with empty fields, broken ends and line breaks as well."""
+    awkward = [
+        '1.1.1.1 - - [] "GET /a HTTP/1.1" 200 5 "r" "a" 1', '1.1.1.1 - - [t] " /a HTTP/1.1" 200 5 "" "" 1',
+        '1.1.1.1 - - [t] "GET  HTTP/1.1" 200 5 "r" "a" 1', '1.1.1.1 - - [] "  HTTP/" 200 5 "r" "" 1', '1.1.1.1 - - [t] "GET /a HTTP/1.1" 200',
+        '1.1.1.1 - - [a] "b] "GET /x] " HTTP/1 HTTP/1.1" 404 7 "r" "a" 1', '1.1.1.1 - - [t] "GET /é\u2028 HTTP/1.1" 500 9 "r" "a" 1',
+        'x 1.1.1.1 - - [t] "GET /a HTTP/1.1" 200 5 "r" "a" 1', '1.1.1.1 - - [t] "GET /a\n HTTP/1.1" 200 5 "r" "a" 1',
+        '1.1.1.1 - - [t] "GET /a\r HTTP/1.1" 200 5 "r" "a" 1\nmore',
+    ]
+    values = [*LINES.values(), *awkward]
+    lines = spark.createDataFrame(list(enumerate(values)), "n INT, value STRING").coalesce(1)
+    whole = {r.n: r.asDict() for r in parser(lines, ["n"]).collect()}
+    assert len(whole) >= 8 - 3 * (parser is op.parse_extended_log)
+    names = [c for c in parser(lines).columns]
+    subsets = [[], *[[a] for a in names], *[[a, b] for i, a in enumerate(names) for b in names[:i]]]
+    for asked in subsets:
+        result = parser(lines, ["n"], columns=asked)
+        assert result.columns == ["n", *(c for c in names if c in asked)]
+        assert {r.n: r.asDict() for r in result.collect()} == {n: {c: row[c] for c in result.columns} for n, row in whole.items()}, asked
+    with pytest.raises(ValueError, match="no such columns"):
+        parser(lines, columns=["agent"])
