@@ -64,6 +64,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         if name == "alerts":
             stream.add_argument("--watermark", help="lateness to allow for, such as '10 minutes'")
             stream.add_argument("--one-read", action="store_true", help="one query for all three, with one read and one state")
+            stream.add_argument("--once", action="store_true", help="tell each alert once, when its limit is crossed; one query for all three")
 
     compact = commands.add_parser("compact", help="fold the closed batches of a changelog")
     compact.add_argument("--path", required=True, help="folder of the changelog")
@@ -113,7 +114,13 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
         store = sink_options or args.ledger
         return append_batch(args.sink_format, files=args.files, ledger=args.ledger, **sink_options) if store else print_batch
 
-    if args.command == "alerts" and args.one_read:
+    if args.command == "alerts" and args.once:
+        from hitscope.streaming.crossings import alerts_once  # needs pandas
+
+        alerts = alerts_once(parse_stream_tokens(messages), watermark=args.watermark or "10 minutes")
+        checkpoint = f"{args.checkpoint.rstrip('/')}/alerts_once"
+        queries = [start_query(alerts, "alerts_once", checkpoint, sink("alerts_once"), trigger=trigger)]
+    elif args.command == "alerts" and args.one_read:
         logs = parse_stream_tokens(messages)
         queries = [start_all_alerts(logs, args.checkpoint, sink("all_alerts"), trigger=trigger, watermark=args.watermark)]
     elif args.command == "alerts":

@@ -1,6 +1,6 @@
 """DataFrame operators: parsers, batch analyses and alerts."""
 
-from hitscope.operators.alerts import all_alerts, error_spikes, status_counts, suspicious_ips, trending_products
+from hitscope.operators.alerts import alert_rules, all_alerts, error_spikes, status_counts, suspicious_ips, trending_products
 from hitscope.operators.analyses import (
     COLUMNS,
     analyse,
@@ -38,6 +38,7 @@ __all__ = [
     "COLUMNS",
     "LOG_SCHEMA",
     "PARSED_SCHEMA",
+    "alert_rules",
     "all_alerts",
     "analyse",
     "avg_response_size",

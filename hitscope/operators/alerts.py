@@ -8,6 +8,7 @@ every window in its state for good, and cannot run in append mode.
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -79,8 +80,17 @@ def _seconds(width: str) -> int:
     return int(count) * _UNITS[unit.lower().removesuffix("s")]
 
 
-def all_alerts(
-    logs: DataFrame,
+class AlertRule(NamedTuple):
+    """Rows for which a condition holds, counted by item in windows; told where the count is beyond a limit."""
+
+    alert: str
+    condition: Column
+    item: str
+    seconds: int
+    more_than: int
+
+
+def alert_rules(
     statuses: Sequence[int] = tuple(SPIKE_STATUSES),
     marker: str = TRENDING_MARKER,
     trending_more_than: int = TRENDING_MORE_THAN,
@@ -88,8 +98,37 @@ def all_alerts(
     spike_width: str = SPIKE_WINDOW,
     trending_width: str = TRENDING_WINDOW,
     suspicious_width: str = SUSPICIOUS_WINDOW,
-    watermark: str | None = None,
-) -> DataFrame:
+    spike_more_than: int = 0,
+) -> list[AlertRule]:
+    """The three alerts."""
+    return [
+        AlertRule("error_spikes", F.col("status").isin(list(statuses)), "status", _seconds(spike_width), spike_more_than),
+        AlertRule("trending_products", F.col("url").contains(marker), "url", _seconds(trending_width), trending_more_than),
+        AlertRule("suspicious_ips", F.lit(True), "ip", _seconds(suspicious_width), suspicious_more_than),
+    ]
+
+
+def alert_rows(logs: DataFrame, rules: list[AlertRule] | None = None) -> tuple[DataFrame, list[AlertRule]]:
+    """``ts, alert, start, seconds, item``, a row for each alert that a log row counts for, and the rules."""
+    rules = rules or alert_rules()
+    second = F.unix_seconds("ts")
+    counted = F.array(*[
+        F.when(
+            rule.condition,
+            F.struct(
+                F.lit(rule.alert).alias("alert"),
+                (second - F.pmod(second, F.lit(rule.seconds))).alias("start"),
+                F.lit(rule.seconds).alias("seconds"),
+                F.col(rule.item).cast("string").alias("item"),
+            ),
+        )
+        for rule in rules
+    ])
+    rows = F.inline(F.filter(counted, lambda row: row.isNotNull()))
+    return logs.where(F.col("ts").isNotNull()).select("ts", rows), rules
+
+
+def all_alerts(logs: DataFrame, rules: list[AlertRule] | None = None, watermark: str | None = None) -> DataFrame:
     """The three alerts as rows ``alert, window_start, window_end, item, requests``, from one read and one state.
 
     Every log row gives a row for each alert that it counts for, and one
@@ -99,40 +138,16 @@ def all_alerts(
     state of a shorter window lives until that one is over, and in append mode
     its rows come then.
     """
-    rules = [
-        ("error_spikes", F.col("status").isin(list(statuses)), "status", _seconds(spike_width), -1),
-        ("trending_products", F.col("url").contains(marker), "url", _seconds(trending_width), trending_more_than),
-        ("suspicious_ips", F.lit(True), "ip", _seconds(suspicious_width), suspicious_more_than),
-    ]
     if watermark is not None:
         logs = logs.withWatermark("ts", watermark)
-    second = F.unix_seconds("ts")
-    counted = F.filter(
-        F.array(*[
-            F.when(
-                condition,
-                F.struct(
-                    F.lit(name).alias("alert"),
-                    (second - F.pmod(second, F.lit(width))).alias("start"),
-                    F.col(item).cast("string").alias("item"),
-                ),
-            )
-            for name, condition, item, width, _ in rules
-        ]),
-        lambda row: row.isNotNull(),
-    )
-    outer = f"{math.lcm(*[width for *_, width, _ in rules])} seconds"
-    counts = (
-        logs.where(F.col("ts").isNotNull())
-        .select("ts", F.inline(counted))
-        .groupBy(F.window("ts", outer), "alert", "start", "item")
-        .agg(F.count("*").alias("requests"))
-    )
-    per_alert = lambda value: F.coalesce(*[F.when(F.col("alert") == name, F.lit(value(rule))) for name, *rule in rules])
-    return counts.where(F.col("requests") > per_alert(lambda rule: rule[-1])).select(
+    rows, rules = alert_rows(logs, rules)
+    outer = f"{math.lcm(*[rule.seconds for rule in rules])} seconds"
+    counts = rows.groupBy(F.window("ts", outer), "alert", "start", "seconds", "item").agg(F.count("*").alias("requests"))
+    limit = F.coalesce(*[F.when(F.col("alert") == rule.alert, F.lit(rule.more_than)) for rule in rules])
+    return counts.where(F.col("requests") > limit).select(
         "alert",
         F.timestamp_seconds("start").alias("window_start"),
-        F.timestamp_seconds(F.col("start") + per_alert(lambda rule: rule[-2])).alias("window_end"),
+        F.timestamp_seconds(F.col("start") + F.col("seconds")).alias("window_end"),
         "item",
         "requests",
     )

@@ -9,8 +9,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     State lives in RocksDB, on disk, as windows per url or address can exceed
     executor memory, and a commit uploads changes only. The number of state
     partitions is fixed by a query's first start and cannot follow the data
-    later, so it is chosen here. Unless given it is one per core, and on a
-    cluster, where more cores may be about to join, no fewer than
+    later, so it is chosen here; unless given it is
     ``spark.sql.shuffle.partitions``. The caller's settings carry over, and its
     own session stays as it is.
     """
@@ -19,9 +18,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
         if session.conf.isModifiable(key):
             session.conf.set(key, value)
     if state_partitions is None:
-        state_partitions = spark.sparkContext.defaultParallelism
-        if not spark.sparkContext.master.startswith("local"):
-            state_partitions = max(state_partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        state_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")

@@ -159,7 +159,7 @@ def test_failed_requests_at_once_when_there_are_few(spark, statuses):
 @pytest.mark.parametrize("sf_dir", [SF_DIR])
 def test_all_alerts_equal_the_three(spark, sf_dir):
     logs = op.parse_stream_tokens(log_lines(spark, sf_dir, burst=True))
-    at_once = sorted(_rows(op.all_alerts(logs, suspicious_more_than=90, spike_width="7 minutes")))
+    at_once = sorted(_rows(op.all_alerts(logs, op.alert_rules(suspicious_more_than=90, spike_width="7 minutes"))))
     singly = []
     for name, alert in [
         ("error_spikes", op.error_spikes(logs, width="7 minutes")), ("trending_products", op.trending_products(logs)),

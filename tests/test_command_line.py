@@ -106,6 +106,16 @@ def test_alerts_from_one_read(spark, log, tmp_path):
     assert sorted(changelog.collect()) == sorted(expected.collect()) != []
 
 
+def test_alerts_told_once(spark, log, tmp_path):
+    out = str(tmp_path / "out")
+    main(["alerts", "--source", "text", "--option", f"path={log}", "--checkpoint", str(tmp_path / "checkpoint"),
+          "--out", out, "--state-partitions", "2", "--until-caught-up", "--once"])
+    lines = spark.createDataFrame([(v,) for v in LINES.values() if v], "value STRING")
+    expected = op.all_alerts(op.parse_stream_tokens(lines))
+    changelog = read_changelog(spark, f"{out}/alerts_once", expected.schema).drop("batch_id")
+    assert sorted(changelog.collect()) == sorted(expected.collect()) != []
+
+
 def test_compact(spark, tmp_path, capsys):
     from hitscope.streaming import append_batch
 

@@ -219,3 +219,43 @@ def test_the_stream_session_leaves_the_callers_alone(spark):
     assert session.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+
+
+def test_alerts_that_are_told_once(spark, tmp_path):
+    """Counts cross their limits in several batches and a restart; lines that come after a window's end count no more."""
+    from hitscope.streaming.crossings import alerts_once
+
+    line = '{} - - [10/Feb/2025:07:{:02d}:00 +0000] "GET /x HTTP/1.1" {} 5'
+    rules = op.alert_rules(suspicious_more_than=4, spike_more_than=2)
+
+    def batch(*rows):
+        _write(tmp_path / "in", [line.format(*row) for row in rows for _ in range(row[3])], 1)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        results = alerts_once(op.parse_stream_tokens(_stream(spark, tmp_path / "in")), rules, watermark="1 minute")
+        _run(results, tmp_path)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        changelog = read_changelog(spark, str(tmp_path / "out"), results.schema)
+        return sorted((r.alert, r.window_start.minute, r.item, r.requests, r.batch_id) for r in changelog.collect())
+
+    told = batch(("1.1.1.1", 1, 200, 4), ("2.2.2.2", 1, 404, 2))
+    assert told == []
+    told = batch(("1.1.1.1", 1, 200, 3), ("2.2.2.2", 2, 404, 5))
+    first = told[0][-1]
+    assert told == [("error_spikes", 0, "404", 7, first), ("suspicious_ips", 1, "1.1.1.1", 7, first), ("suspicious_ips", 2, "2.2.2.2", 5, first)]
+    # Further requests beyond the limits are not told again.
+    assert batch(("1.1.1.1", 1, 200, 9), ("2.2.2.2", 2, 404, 9)) == told
+    # A later time closes those windows; what comes late neither is told again nor starts anew.
+    assert batch(("3.3.3.3", 40, 200, 1)) == told
+    assert batch(("1.1.1.1", 1, 200, 9), ("4.4.4.4", 1, 404, 9)) == told
+    assert [t[:4] for t in batch(("3.3.3.3", 40, 500, 5)) if t not in told] == [("error_spikes", 40, "500", 5), ("suspicious_ips", 40, "3.3.3.3", 6)]
+
+
+def test_append_mode_with_all_alerts_from_one_read(spark, tmp_path):
+    line = '1.1.1.1 - - [10/Feb/2025:07:{:02d}:00 +0000] "GET /x HTTP/1.1" 404 5'
+    _write(tmp_path / "in", [line.format(m) for m in (1, 2, 6, 30, 31, 3)], 6)
+    logs = op.parse_stream_tokens(_stream(spark, tmp_path / "in"))
+    results = op.all_alerts(logs, watermark="10 minutes")
+    _run(results, tmp_path, mode="append")
+    closed = read_changelog(spark, str(tmp_path / "out"), results.schema)
+    assert _rows(closed.select("alert", "window_start", "item", "requests")) == [
+        ("error_spikes", datetime(2025, 2, 10, 7, 0), "404", 2), ("error_spikes", datetime(2025, 2, 10, 7, 5), "404", 1)]
