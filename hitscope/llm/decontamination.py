@@ -7,7 +7,7 @@ item is laid beside the document on the diagonals (place in the document minus
 place in the item) of its windows, neighbouring ones together, and compared word
 for word. It is found where enough words match and its slots are filled
 consistently: each filler of the item maps to one filler of the document
-throughout. So a verbatim copy, a question with other numbers or names and a copy
+throughout, and two names of the item to two of the document. So a verbatim copy, a question with other numbers or names and a copy
 with a word changed, dropped or put in are all caught.
 """
 
@@ -58,7 +58,9 @@ def _with_openers(frame: DataFrame) -> DataFrame:
 def _cleaned(marked: Column) -> Column:
     """Words and whole numbers, one space apart; runs of names are tied together."""
     tied = F.regexp_replace(marked, r"(\x02\p{L}+)[ \n\t]+(?=\x02)", "$1" + JOINED)
-    return F.trim(F.regexp_replace(tied, r"(?:(?<!\p{N})[.,]|[.,](?!\p{N})|[^\p{L}\p{N}\x02\x03.,])+", " "))
+    # Stops first, then the rest: repeating a choice of patterns would take a stack frame for each character.
+    stops = F.regexp_replace(tied, r"(?<!\p{N})[.,]|[.,](?!\p{N})", " ")
+    return F.trim(F.regexp_replace(stops, r"[^\p{L}\p{N}\x02\x03.,]+", " "))
 
 
 def _template(clean: Column) -> Column:
@@ -167,7 +169,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = 8, covera
     windows of *width* words of an item, *n_matched* the number of its words that
     match, less *width* - 1: the windows that an unbroken match of so many words
     holds. At least *coverage* of them must match with consistent slots; in
-    a template half of the matching words must be the same. An item with fewer words than *width* is one window of its own length and
+    a template half of the matching words must be the same, or two thirds of the windows must match and with them
+    at least *width* slots and three different words that are the same (an item dense in slots). An item with fewer words than *width* is one window of its own length and
     is found wherever a document holds these words, even a single one. NULL or empty
     texts and rows without an id hold nothing and are held by nothing; repeated rows
     give one row.
@@ -239,13 +242,21 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = 8, covera
             F.sum((F.col("b.own") == F.col("b.other")).cast("int")).alias("same"),
             F.min("b.other").alias("low"),
             F.max("b.other").alias("high"),
+            F.first("b.own_type").alias("type"),
             F.max(F.struct("b.run", (-F.col("b.diagonal")).alias("back"))).alias("longest"),
         )
     )
+    named = F.col("type") == NAME
     judged = fillers.groupBy(*place, "n").agg(
         F.sum("words").alias("words"),
         F.sum("same").alias("same"),
-        F.bool_and(~F.col("slot") | (F.col("low") == F.col("high"))).alias("consistent"),
+        (
+            F.bool_and(~F.col("slot") | (F.col("low") == F.col("high")))
+            # Not more names than an item has words, so the sets are small.
+            & (F.size(F.collect_set(F.when(named, F.col("low")))) == F.count_if(named))
+        ).alias("consistent"),
+        F.sum(F.when(F.col("slot"), F.col("words")).otherwise(0)).alias("slots"),
+        F.count_if(~F.col("slot") & (F.col("same") > 0)).alias("plain"),
         F.max("longest").alias("longest"),
     )
     span = F.least(F.col("n"), F.lit(width))
@@ -253,7 +264,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = 8, covera
         "n_matched", F.greatest(F.col("words") - span + 1, F.lit(0))
     )
     share = F.col("n_matched") / F.col("n_windows")
-    judged = judged.filter((share >= coverage) & F.col("consistent") & (F.col("same") * 2 >= F.col("words"))).withColumn(
+    dense = (share >= F.greatest(F.lit(2 / 3), F.lit(coverage))) & (F.col("slots") >= width) & (F.col("plain") >= 3)
+    alike = (F.col("same") * 2 >= F.col("words")) | dense
+    judged = judged.filter((share >= coverage) & F.col("consistent") & alike).withColumn(
         "diagonal", -F.col("longest.back")
     )
     # Places in tied words become places in words.
@@ -278,6 +291,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = 8, covera
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """*docs* without the documents that hold an item."""
-    bad = contaminations(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs.doc_id == F.col("_bad"), "leftanti")
+    """*docs* without the documents that hold an item; rows without an id hold none and stay."""
+    bad = contaminations(docs, benchmark).select("doc_id").distinct().alias("contaminated")
+    rows = docs.alias("documents")
+    return rows.join(bad, F.col("documents.doc_id") == F.col("contaminated.doc_id"), "leftanti")

@@ -61,3 +61,30 @@ def test_items_dense_in_slots(spark):
     rows = found(spark, items, texts)
     assert {k: r["kind"] for k, r in rows.items()} == {(i, i): "verbatim" for i in range(4)}
     assert rows[3, 3]["n_windows"] == 31
+
+
+def test_long_runs_of_separators(spark):
+    """A megabyte of one separator, or of two in turn, takes no stack."""
+    texts = [f"so it is: {TOWN} {run} and so on" for run in ("-" * (1 << 20), " " * (1 << 20), ".," * (1 << 19), "\n" * (1 << 20), "=-" * 1000)]
+    texts += ["1.," * 3000, "." * (1 << 20), "\x02\x03" * 5000]
+    rows = found(spark, [TOWN], texts)
+    assert {k: r["kind"] for k, r in rows.items()} == {(i, 0): "verbatim" for i in range(5)}
+
+
+def test_dense_items_with_other_fillers_and_names_that_become_one(spark):
+    sums = "add 12 to 7 to get 19, add 4 to 9 to get 13, add 22 to 6 to get 28 and add 31 to 5 to get 36"
+    other = "add 14 to 8 to get 20, add 3 to 1 to get 15, add 25 to 2 to get 30 and add 33 to 7 to get 39"
+    swap = "while we ate Anna gave the red ball to Bruno and then Bruno gave the old hat back to Anna before noon"
+    one = swap.replace("Bruno", "Clara").replace("Anna", "Clara")
+    two = swap.replace("Bruno", "Clara").replace("Anna", "Dora")
+    numbers = " ".join(str(i * 3) for i in range(40)) + " add to get and"
+    rows = found(spark, [sums, swap], [f"one says: {t} in the end" for t in (other, one, two, numbers)])
+    assert {k: r["kind"] for k, r in rows.items()} == {(0, 0): "template", (2, 1): "template"}
+
+
+def test_columns_of_documents_with_other_uses(spark):
+    docs = spark.createDataFrame([(1, TOWN, 5, "x"), (2, "quite another text", 6, "y"), (None, TOWN, 7, "z")], "doc_id long, text string, _bad int, item_id string")
+    benchmark = spark.createDataFrame([(1, TOWN)], "item_id long, text string")
+    kept = decontamination.drop_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert sorted((r["_bad"], r["item_id"]) for r in kept.collect()) == [(6, "y"), (7, "z")]
