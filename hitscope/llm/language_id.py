@@ -199,24 +199,30 @@ def document_probabilities(net: Network, data: np.ndarray, offsets: np.ndarray)
     return totals / np.maximum(lengths, 1)[:, None]
 
 
-def training_sample(docs: DataFrame, per_language: int = 400, chars: int = 600, max_languages: int = 32) -> list:
-    """At most *per_language* distinct texts ``(lang, text)`` of each of the *max_languages* most frequent languages.
+#: Languages whose sample may be gathered: at most this many times *per_language* texts of *chars* characters.
+MAX_LANGUAGES = 1000
+
+
+def training_sample(docs: DataFrame, per_language: int = 400, chars: int = 600) -> list:
+    """At most *per_language* distinct texts ``(lang, text)`` of every language.
 
     Documents whose crc32(id) is divisible by 5 are left out. Which documents,
     and where in a text its *chars* characters start, follow from a hash of the text
     alone. The languages' counts of distinct texts, all of them over all documents, set how many
-    hashes pass, so that the sample has a bounded size before it is gathered.
+    hashes pass, so that the sample has a bounded size before it is gathered. No language is
+    left out; more than MAX_LANGUAGES of them are a ValueError.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (id_bucket(F.col("doc_id"), 5) != 0))
     hashed = labelled.select("lang", "text", F.xxhash64("text").alias("h"))
     # Copies of a text are one text: they share a hash, and must not stand for several.
-    texts = hashed.groupBy("lang", "h").agg(F.count("*").alias("copies"))
-    counts = texts.groupBy("lang").agg(F.sum("copies").alias("rows"), F.count("*").alias("texts"))
-    passing = F.lit(False)
-    for row in counts.orderBy(F.desc("rows"), "lang").limit(max_languages).collect():
-        share = min(1.0, 3.0 * per_language / row["texts"])
-        passing = passing | ((F.col("lang") == row["lang"]) & (F.pmod("h", F.lit(1 << 20)) <= int(share * (1 << 20))))
-    ranked = texts.filter(passing).withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    texts = hashed.select("lang", "h").distinct()
+    counts = texts.groupBy("lang").agg(F.count("*").alias("texts"))
+    found = counts.count()
+    if found > MAX_LANGUAGES:
+        raise ValueError(f"{found} languages; the sample of more than {MAX_LANGUAGES} is not bounded")
+    passing = F.pmod("h", F.lit(1 << 20)) <= F.least(F.lit(1.0), 3.0 * per_language / F.col("texts")) * (1 << 20)
+    few = texts.join(F.broadcast(counts), "lang").filter(passing)
+    ranked = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     chosen = ranked.filter(F.col("place") <= per_language).select("lang", "h", "place")
     start = F.pmod(F.shiftright("h", 20), F.greatest(F.char_length("text") - chars, F.lit(1))).cast("int")
     picked = hashed.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "place", F.substring("text", start + 1, F.lit(chars)).alias("text"))
@@ -300,18 +306,18 @@ def language_id(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = 0.4) -> DataFrame:
     """*docs*, unchanged, without those whose language is undetermined or scores less than *min_score*.
 
-    If no language can be learnt from *docs*, all are kept that have a letter.
+    With more than four languages the least score falls with their number, as the probabilities that a wrong guess would have do.
+    If no language can be learnt from *docs*, all are kept that have a letter. Only texts are sent to
+    Python workers; the rows they belong to stay where they are.
     """
     net = train(docs)
-    read = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    least = min(min_score, 4 * min_score / max(1, len(net.languages)))
 
-    def run(batches):
-        for batch in batches:
-            best, score = _judge(net, batch.column("text"), batch.column("has_letter"))
-            good = (score >= min_score) & (best < len(net.languages))
-            if not net.languages:
-                good = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
-            yield batch.select(["row"]).filter(pa.array(good))
+    @F.arrow_udf("boolean")
+    def identified(texts: pa.Array, has_letter: pa.Array) -> pa.Array:
+        if not net.languages:
+            return has_letter
+        best, score = _judge(net, texts, has_letter)
+        return pa.array((score >= least) & (best < len(net.languages)))
 
-    read = read.withColumn("has_letter", _has_letter())
-    return read.mapInArrow(run, read.select("row").schema).select("row.*")
+    return docs.filter(identified(F.coalesce("text", F.lit("")), _has_letter()))

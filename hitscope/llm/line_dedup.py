@@ -67,8 +67,10 @@ def dropped_positions(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -
     return lost.groupBy("doc_id").agg(F.collect_set("position").alias("dropped"))
 
 
-def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
-    """All columns of *docs* with the kept text as ``text``, and ``n_lines``, ``n_dropped``.
+def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, counts: bool = True) -> DataFrame:
+    """All columns of *docs* with the kept text as ``text``, and with *counts* ``n_lines``, ``n_dropped``.
+
+    Columns of *docs* of these two names give way to the counts.
 
     A text is split at line feeds; NULL and empty are one empty line. A key (see
     line_key) of at least *min_chars* characters that is found in at least
@@ -94,8 +96,9 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataF
     counted = joined.select(
         "row", text.alias("kept"), F.size("lines").cast("long").alias("n_lines"), F.size("dropped").cast("long").alias("n_dropped")
     )
-    columns = [F.col("kept").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
-    return counted.select(*columns, *[c for c in ("n_lines", "n_dropped") if c not in docs.columns])
+    own = ["n_lines", "n_dropped"] if counts else []
+    columns = [F.col("kept").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c not in own]
+    return counted.select(*columns, *own)
 
 
 ORACLE_SQL = r"""

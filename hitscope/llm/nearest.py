@@ -22,8 +22,9 @@ VECTOR_BLOCK, QUERY_BLOCK = 8192, 2048
 class CollisionIndex:
     """Sorted projections of one block of vectors."""
 
-    def __init__(self, vectors: np.ndarray, largest_norm: float, projections: int = 32, seed: int = 11):
-        scaled = vectors / largest_norm
+    def __init__(self, vectors: np.ndarray, unit: float, largest_norm: float, projections: int = 32, seed: int = 11):
+        """*largest_norm* is that of the vectors divided by *unit*, the largest component of all."""
+        scaled = vectors / unit / largest_norm
         last = np.sqrt(np.maximum(0.0, 1.0 - (scaled**2).sum(axis=1)))
         self.vectors = vectors
         self.axes = np.random.default_rng(seed).normal(size=(vectors.shape[1] + 1, projections))
@@ -39,7 +40,9 @@ class CollisionIndex:
         vectors (and *at_least* of them) have reached the threshold.
         """
         projections, n = self.order.shape
-        directions = queries / np.sqrt((queries**2).sum(axis=1, keepdims=True))
+        # Scaled first, as squares of very small or large components are 0 or infinite.
+        directions = queries / np.abs(queries).max(axis=1, keepdims=True)
+        directions /= np.sqrt((directions**2).sum(axis=1, keepdims=True))
         centres = directions @ self.axes[:-1]
         needed = min(n, max(at_least, int(np.ceil(share * n))))
         collisions = max(1, int(np.ceil(threshold * projections)))
@@ -69,7 +72,8 @@ class CollisionIndex:
             near = near[ids[near] != query_id]
             scores = self.vectors[near] @ query
             if len(near) > k:
-                near = near[scores >= np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9]
+                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                near = near[scores >= kth - 1e-9 * np.abs(scores).max()] if np.isfinite(scores).all() else near
             # Summed row by row, so that equal vectors tie exactly.
             scores = (self.vectors[near] * query).sum(axis=1)
             best = np.lexsort((ids[near], -scores))[:k]
@@ -99,34 +103,33 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, proje
     Nearness is the inner product in double precision, ties go to the smaller
     ``vec_id``; a query is no neighbour of its own id. *share* of every block is
     verified at least: vectors spread evenly in all directions, as the worst
-    case, need about half of them for a recall of 0.9 and more. Vectors whose length is not the
-    most frequent one (the smaller of equals) take no part. Repeated rows are neighbours of their own.
-    An empty table gives no rows.
+    case, need about half of them for a recall of 0.9 and more. Vectors of another length than
+    a query's are no neighbours of it: every length is a space of its own. Repeated rows are neighbours of their own.
+    Components may be of any finite size; a score beyond a double is infinite. An empty table gives no rows.
     """
-    rows = usable(vectors)
-    sizes = rows.groupBy(F.size("vector").alias("size")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(is_query).alias("queries"),
-        F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"),
+    rows = usable(vectors).withColumn("size", F.size("vector"))
+    unit = F.array_max(F.transform("vector", F.abs))
+    units = rows.groupBy("size").agg(F.max(unit).alias("unit"))
+    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("unit")) * (x / F.col("unit")))
+    blocks = lambda n, size: F.greatest(F.lit(1), F.ceil(n / size)).cast("int")
+    sizes = rows.join(units, "size").groupBy("size", "unit").agg(
+        F.sqrt(F.max(square)).alias("norm"),
+        blocks(F.count(F.lit(1)), VECTOR_BLOCK).alias("vector_blocks"),
+        blocks(F.count_if(is_query), QUERY_BLOCK).alias("query_blocks"),
     )
-    common = sizes.orderBy(F.desc("n"), "size").limit(1).collect()
-    size, n, n_queries, square = common[0] if common else (0, 0, 0, 1.0)
-    rows = rows.filter(F.size("vector") == size)
-    vector_blocks, query_blocks = max(1, -(-n // VECTOR_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
-    largest = float(np.sqrt(square)) or 1.0
-
-    def blocked(frame, own: str, own_count: int, other: str, other_count: int):
-        return frame.select(
-            "vec_id", "vector",
-            F.pmod(F.xxhash64("vec_id", F.lit(own_count)), F.lit(own_count)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(other_count - 1))).alias(other),
-        )
+    rows = rows.join(sizes, "size")
+
+    def blocked(frame, own: str, other: str):
+        block = F.pmod(F.xxhash64("vec_id", f"{own}_blocks"), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block")
+        others = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block")
+        return frame.select("vec_id", "vector", "size", "unit", "norm", block, others)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         parts = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if left.num_rows and right.num_rows:
-            matrix = lambda t: t.column("vector").combine_chunks().flatten().to_numpy().reshape(t.num_rows, size)
-            index = CollisionIndex(matrix(left), largest * (1 + 1e-12), projections)
+            matrix = lambda t: t.column("vector").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+            unit, norm = (left.column(c)[0].as_py() for c in ("unit", "norm"))
+            index = CollisionIndex(matrix(left), unit, norm * (1 + 1e-12), projections)
             queries, query_ids = matrix(right), right.column("vec_id").to_numpy()
             found = [
                 index.search(left.column("vec_id").to_numpy(), query_ids[i : i + 256], queries[i : i + 256], k, share)
@@ -135,9 +138,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, proje
             parts = [np.concatenate(x) for x in zip(*found)]
         return pa.table({"query_id": parts[0].astype(np.int64), "vec_id": parts[1].astype(np.int64), "score": parts[2]})
 
-    keys = ["vector_block", "query_block"]
-    data = blocked(rows, "vector_block", vector_blocks, "query_block", query_blocks).groupBy(*keys)
-    queries = blocked(rows.filter(is_query), "query_block", query_blocks, "vector_block", vector_blocks).groupBy(*keys)
-    found = data.cogroup(queries).applyInArrow(search, "query_id long, vec_id long, score double")
+    keys = ["size", "vector_block", "query_block"]
+    data = blocked(rows, "vector", "query").groupBy(*keys)
+    asked = blocked(rows.filter(is_query), "query", "vector")
+    asked = asked.toDF(*asked.columns)  # columns of its own, as both sides come from the same rows
+    found = data.cogroup(asked.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)

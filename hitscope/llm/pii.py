@@ -3,7 +3,10 @@
 Numbers and dates that pass a check (the Luhn sum, the octets of an address, a
 calendar day, ...) are permuted within their format by a keyed Feistel network, so
 the pseudonym passes the same check, and equal values get equal pseudonyms in all documents
-without any table of values. Separators and length stay.
+without any table of values. Separators and length stay. Cards are 13 to 19 digits with a Luhn sum, in one
+piece or grouped as on a card; digits in other groups, part of a longer run of groups or without that sum
+are left alone. Not covered: IPv6 addresses, names, passwords and keys, numbers of phones without any separator,
+dates with one-digit days or months.
 """
 
 import datetime
@@ -32,6 +35,12 @@ _FORMS = re.compile(
     re.ASCII,
 )
 _GROUP = re.compile(r"\w+", re.ASCII)
+# How the digits of a card are grouped where they are.
+_CARD_GROUPS = ([4, 4, 4, 4], [4, 4, 4, 4, 3], [4, 6, 5], [4, 6, 4])
+_FOURS = re.compile(r"\d{4}(?:[ -]\d{4})+", re.ASCII)
+_FOUR_BEFORE, _FOUR_BEHIND = re.compile(r"(?<!\d)\d{4}[ -]\Z", re.ASCII), re.compile(r"[ -]\d{4}(?!\d)", re.ASCII)
+#: Characters of a run of groups of four beyond which it is a table, not cards.
+_LONGEST_RUN = 200
 
 
 def _round(key: bytes, tweak: bytes, number: int, half: int, size: int) -> int:
@@ -169,12 +178,13 @@ def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str |
         rest = iter(f"{_iban_check(value[:2], body):02d}{body}")
         return value[:2] + "".join(next(rest) if c.isalnum() else c for c in value[2:])
     if kind == "card":
-        # Long numbers of 16 digits are taken for account numbers even without a Luhn sum, and then keep lacking it.
-        off = (int(digits[-1]) - luhn(digits[:-1])) % 10
-        if off and len(digits) != 16:
+        groups, marks = re.split("[ -]", value), set(re.findall("[ -]", value))
+        if len(marks) > 1 or (len(groups) > 1 and [len(g) for g in groups] not in _CARD_GROUPS):
             return None
-        body = _permuted_digits(digits[:-1], key, tweak + b"%d" % off, inverse)
-        return _fill(value, body + str((luhn(body) + off) % 10))
+        if not 13 <= len(digits) <= 19 or int(digits[-1]) != luhn(digits[:-1]):
+            return None
+        body = _permuted_digits(digits[:-1], key, tweak + b"0", inverse)
+        return _fill(value, body + str(luhn(body)))
     raise ValueError(f"unknown kind: {kind}")
 
 
@@ -197,6 +207,8 @@ def _found(text: str, key: bytes, start: int, stop: int):
     while match := _FORMS.search(text, start, stop):
         kind, low, high = match.lastgroup, match.start(), match.end()
         new = pseudonym(kind, match[0], key)
+        if new is not None and kind == "card" and _in_longer_run(text, low, high):
+            new = None
         if new is None:
             part = _valid_part(kind, match, key) if kind in ("card", "iban") else None
             if part is None:
@@ -211,6 +223,22 @@ def _found(text: str, key: bytes, start: int, stop: int):
         start = high
 
 
+def _in_longer_run(text: str, low: int, high: int) -> bool:
+    """Whether groups of four digits go on beside those of a card, as in a table of numbers; several cards in a row are none."""
+    if not _FOURS.fullmatch(text, low, high):
+        return False
+    first, last = low, high
+    while low - first < _LONGEST_RUN and _FOUR_BEFORE.search(text, max(0, first - 6), first):
+        first -= 5
+    while last - high < _LONGEST_RUN and _FOUR_BEHIND.match(text, last):
+        last += 5
+    if (first, last) == (low, high):
+        return False
+    quads = [re.sub("[ -]", "", text[i : i + 19]) for i in range(first, last, 20)]
+    whole = (last - first + 1) % 20 == 0 and (low - first) % 20 == 0 and last - first < _LONGEST_RUN
+    return not (whole and all(int(q[-1]) == luhn(q[:-1]) for q in quads))
+
+
 def _valid_part(kind: str, match: re.Match, key: bytes) -> tuple[int, int, str] | None:
     """The longest part of a match, from group to group, that passes the check of its kind."""
     groups = [g.span() for g in _GROUP.finditer(match[0])]
@@ -219,12 +247,9 @@ def _valid_part(kind: str, match: re.Match, key: bytes) -> tuple[int, int, str]
     else:
         parts = [(a, b) for i, (a, _) in enumerate(groups) for _, b in groups[i:]]
     for a, b in sorted(parts, key=lambda p: (p[0] - p[1], p[0])):
-        value = match[0][a:b]
-        digits = "".join(c for c in value if c.isdigit())
-        # Part of a longer number is a card only with its Luhn sum.
-        if kind == "card" and not (13 <= len(digits) <= 19 and int(digits[-1]) == luhn(digits[:-1])):
+        if kind == "card" and _in_longer_run(match.string, match.start() + a, match.start() + b):
             continue
-        new = pseudonym(kind, value, key)
+        new = pseudonym(kind, match[0][a:b], key)
         if new is not None:
             return match.start() + a, match.start() + b, new
     return None

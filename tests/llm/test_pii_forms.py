@@ -40,3 +40,29 @@ def test_timestamp():
 def test_value_behind_a_failed_match():
     text, found = pii.pseudonymise("no 12 2024-02-29 12345678 of it", KEY)
     assert [f[0] for f in found] == ["date"] and "2024-02-29" not in text
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "measured 12 14 19 22 31 45 47 50 61 62 mm", "order 1234567890123456", "1234 5678 9012 3456", "4111-1111 1111 1111",
+        "4111 1111 1111 1111 2222", "2222 4111 1111 1111 1111", "41 11 11 11 11 11 11 11", "4111 111111 11111 1", "3/4/1990", "fe80::1",
+        " ".join(str((i * 7919) % 90 + 10) for i in range(400)), " ".join(f"{(i * 7919) % 9000 + 1000}" for i in range(400)),
+    ],
+)
+def test_numbers_that_are_no_cards_stay(text):
+    assert pii.pseudonymise(text, KEY) == (text, [])
+
+
+@pytest.mark.parametrize("value", [CARD, CARD.replace(" ", "-"), CARD.replace(" ", ""), "3782 822463 10005", "3056 930902 5904", "4222222222222"])
+def test_cards_in_their_forms(value):
+    new = pii.pseudonym("card", value, KEY)
+    assert new != value and [len(g) for g in new.split(" ")] == [len(g) for g in value.split(" ")]
+    assert pii.pseudonym("card", new, KEY, inverse=True) == value
+    assert pii.pseudonymise(f"12 {value} 7, {value}", KEY)[0] == f"12 {new} 7, {new}"
+
+
+def test_a_very_long_text():
+    text = "plain words 12 34 and so on " * 40_000
+    new, found = pii.pseudonymise(text + CARD, KEY)
+    assert new[:-19] == text and len(found) == 1
