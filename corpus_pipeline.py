@@ -14,7 +14,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each without the lines that an earlier one holds; ``n_chars`` follows the text."""
-    kept = line_dedup.line_dedup(docs).select(docs.columns)
+    kept = line_dedup.line_dedup(docs, counts=False)
     if "n_chars" not in docs.columns:
         return kept
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
