@@ -25,7 +25,7 @@ _NONE = np.int32(np.iinfo(np.int32).max)
 #: Longest tree that is worked on in lockstep.
 _LOCKSTEP = 256
 #: Bytes of text in work at once, matches in work at once, matches (and chunks) remembered by a worker.
-_BYTES, _MATCHES, _KNOWN = 1 << 21, 1 << 18, 700_000
+_BYTES, _MATCHES, _KNOWN = 1 << 21, 1 << 18, 250_000
 
 
 class Vocabulary:

@@ -36,6 +36,26 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+#: Bits of the sieve of ``with_ids``, and of each of its pages: 8 MB in all, whatever the number of ids.
+_SIEVE, _PAGE = 1 << 26, 1 << 15
+
+
+def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of *docs* whose ``doc_id`` is among *ids* (one column, distinct).
+
+    A bitmap of the ids' hashes, of fixed size and so safe to broadcast, keeps other rows' texts
+    out of the shuffle of the join that follows.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(_SIEVE))
+    place = (slot % _PAGE).cast("int")
+    pages = ids.select((slot / _PAGE).cast("int").alias("sieve_page"), place.cast("long").alias("sieve_place"))
+    pages = pages.groupBy("sieve_page").agg(F.bitmap_construct_agg("sieve_place").alias("sieve_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("sieve_bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    page = (slot / _PAGE).cast("int") == F.col("sieve_page")
+    sifted = docs.join(F.broadcast(pages), page).filter(F.getbit(byte, place % 8) == 1)
+    return sifted.drop("sieve_page", "sieve_bits").join(ids, "doc_id", "leftsemi")
+
+
 def id_bucket(doc_id, parts: int):
     """crc32 of the id as text, modulo *parts*; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

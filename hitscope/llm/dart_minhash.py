@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hitscope.llm import rolling
-from hitscope.llm.common import concatenated_ranges, id_and_text, save, sliced, utf8
+from hitscope.llm.common import concatenated_ranges, id_and_text, save, sliced, utf8, with_ids
 from hitscope.llm.word_windows import runs_of_words, words_of
 
 #: Rows of a band and number of bands: a pair of similarity 0.8 shares no bucket with a probability of 5e-6.
@@ -192,7 +192,7 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, width: int, weights: str, t
             yield out.filter(pa.array(np.array(found) >= threshold, pa.bool_()))
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    chosen = docs.join(ends, "doc_id", "leftsemi").dropDuplicates(["doc_id"])
+    chosen = with_ids(docs, ends).dropDuplicates(["doc_id"])
     whole = save(chosen.mapInArrow(sets, "doc_id long, items array<long>, counts array<int>"), "sets")
     side = lambda s: whole.select(F.col("doc_id").alias(s), F.col("items").alias(f"items_{s}"), F.col("counts").alias(f"counts_{s}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long, similarity double")
@@ -261,7 +261,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, wei
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """*docs* without the near-duplicates of a document with a smaller id; a repeated id keeps one row."""
-    kept = near_duplicates(docs).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter("doc_id IS NOT NULL")
-    return named.join(kept, named.doc_id == F.col("_kept"), "leftsemi").dropDuplicates(["doc_id"]).union(docs.filter("doc_id IS NULL"))
+    """*docs* without the near-duplicates of a document with a smaller id; of a repeated id any one row stays."""
+    kept = near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct().alias("kept")
+    named = docs.filter("doc_id IS NOT NULL").alias("documents")
+    one = named.join(kept, F.col("documents.doc_id") == F.col("kept.doc_id"), "leftsemi").dropDuplicates(["doc_id"])
+    return one.union(docs.filter("doc_id IS NULL"))
