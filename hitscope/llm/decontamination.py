@@ -87,8 +87,9 @@ def _plain(clean: Column) -> Column:
     return F.split(F.lower(F.translate(clean, JOINED + NAMED, " ")), " ")
 
 
-def _hash(path: int, words: Column, at: Column, length) -> Column:
-    return F.xxhash64(F.lit(path), F.slice(words, at, length))
+def _hash(path: int, words: Column, at: Column, length: int) -> Column:
+    """Hash of a path and the hashes of *length* words from *at* on; that of an array is the same, but needs a copy for each window."""
+    return F.xxhash64(F.lit(path), *[F.get(words, at + (i - 1)) for i in range(length)])
 
 
 def _item_windows(items: DataFrame, width: int) -> DataFrame:
@@ -125,27 +126,38 @@ def _item_windows(items: DataFrame, width: int) -> DataFrame:
 
 
 def _doc_windows(texts: DataFrame, keys: list[str], lengths: dict[int, list[int]]) -> DataFrame:
-    """*keys*, ``path, position, h`` of the documents' windows of the given lengths; *position* counts from 1."""
+    """*keys*, ``n0, n1, place, h``: hashes of the documents' windows of the given lengths, one path and length after the other."""
     numbers = lambda words: F.transform(words, lambda w: F.xxhash64(w))
-    slotted = F.col("clean").rlike(r"\x02|\p{N}")
+    slotted = F.col("clean").rlike(r"\x02|\p{N}") if TEMPLATE in lengths else F.lit(False)
     read = texts.select(
         *keys,
         numbers(_plain(F.col("clean"))).alias("words0"),
         F.when(slotted, numbers(F.split(_template(F.col("clean")), " "))).alias("words1"),
     )
+    none = F.array().cast("array<bigint>")
 
     def windows(path: int, length: int) -> Column:
         words = F.col(f"words{path}")
-        cut = F.transform(
-            F.sequence(F.lit(1), F.size(words) - length + 1),
-            lambda at: F.struct(F.lit(path).alias("path"), at.alias("position"), _hash(path, words, at, length).alias("h")),
-        )
-        return F.when(words.isNotNull() & (F.size(words) >= length), cut).otherwise(
-            F.array().cast("array<struct<path:int,position:int,h:bigint>>")
-        )
+        cut = F.transform(F.sequence(F.lit(1), F.size(words) - length + 1), lambda at: _hash(path, words, at, length))
+        return F.when(words.isNotNull() & (F.size(words) >= length), cut).otherwise(none)
 
+    size = lambda path: F.coalesce(F.array_size(f"words{path}"), F.lit(0)).alias(f"n{path}")
     parts = [windows(path, length) for path, own in lengths.items() for length in own]
-    return read.select(*keys, F.explode(F.concat(*parts)).alias("w")).select(*keys, "w.*")
+    return read.select(*keys, size(WORDS), size(TEMPLATE), F.posexplode(F.concat(*parts)).alias("place", "h"))
+
+
+def _place(lengths: dict[int, list[int]]) -> tuple[Column, Column]:
+    """Path of a window of ``_doc_windows``, and its first word, counting from 1; worked out for hits only."""
+    path, position, before = F.lit(None), F.lit(None), F.lit(0)
+    steps = []
+    for number, own in lengths.items():
+        for length in own:
+            steps.append((number, before))
+            before = before + F.greatest(F.col(f"n{number}") - length + 1, F.lit(0))
+    for number, start in steps:
+        here = F.col("place") >= start
+        path, position = F.when(here, number).otherwise(path), F.when(here, F.col("place") - start + 1).otherwise(position)
+    return path.cast("int"), position.cast("int")
 
 
 def _words(frame: DataFrame, keys: list[str], prefix: str) -> DataFrame:
@@ -192,8 +204,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = 8, covera
     cut = _doc_windows(_read(read, *keys), keys, lengths or {WORDS: [width]})
     sought = own.select("item_id", "at", "h")
     # A diagonal of a document and an item: the word of the document at which the item would begin.
+    path, position = _place(lengths or {WORDS: [width]})
     hits = cut.join(F.broadcast(sought) if small else sought, "h").select(
-        *keys, "item_id", "path", (F.col("position") - F.col("at") + 1).alias("diagonal")
+        *keys, "item_id", path.alias("path"), (position - F.col("at") + 1).alias("diagonal")
     )
     hits = save(hits.distinct(), "item-hits")
 
