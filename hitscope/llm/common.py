@@ -49,11 +49,15 @@ def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(_SIEVE))
     place = (slot % _PAGE).cast("int")
     pages = ids.select((slot / _PAGE).cast("int").alias("sieve_page"), place.cast("long").alias("sieve_place"))
-    pages = pages.groupBy("sieve_page").agg(F.bitmap_construct_agg("sieve_place").alias("sieve_bits"))
+    # Dealt by page first: a page of few bits from every task would be more than the ids.
+    pages = pages.repartition("sieve_page").groupBy("sieve_page").agg(F.bitmap_construct_agg("sieve_place").alias("sieve_bits"))
     byte = F.conv(F.hex(F.substring(F.col("sieve_bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
     page = (slot / _PAGE).cast("int") == F.col("sieve_page")
     sifted = docs.join(F.broadcast(pages), page).filter(F.getbit(byte, place % 8) == 1)
-    return sifted.drop("sieve_page", "sieve_bits").join(ids, "doc_id", "leftsemi")
+    # A set number of partitions, so that texts that are few for the shuffle do not come in large ones for Python.
+    sifted = sifted.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    # An inner join, as a semi join would be pushed below the one with the bitmap.
+    return sifted.drop("sieve_page", "sieve_bits").join(ids, "doc_id")
 
 
 def id_bucket(doc_id, parts: int):
