@@ -1,11 +1,19 @@
 """Substring deduplication by relative Lempel-Ziv parsing over words.
 
-A document is parsed against everything that comes earlier in the corpus (smaller
-``doc_id``, or the same document further ahead). The reference is an index of
-runs of *window* words, cut into blocks by hash; every run of a document is
-looked up in its block, which also covers the runs that cross the end of a
-factor. Matches whose sources follow one another make up a factor, greedily from left to
-right; factors are at least *window* words long and are the duplicate spans.
+The reference of a document is what comes earlier in the corpus (smaller ``doc_id``,
+or the same document further ahead), each run of *window* words at one place only. It is
+indexed in blocks, by hashed runs: the documents that a task gathers are one
+block, in which a run's place is the first there; the hash partitions of the shuffle
+that follows are the others, which hold the runs that were first in a task, with their first
+places in the corpus. So a match of *window* words or more has one candidate place
+in the block that answers, and is the longest there when it has been followed for as long as the
+document's next runs lie next to it.
+
+``parse`` takes that match wherever the previous factor ends, and goes on behind
+it. Runs that cross the border of two factors are in neither; those that were found are
+spans too, marked as such. What is removed, the union of all, does not depend on how
+the documents are dealt to tasks. Where factors end does, if a run has several
+earlier places: a longer match at a later copy in another task is not sought.
 
 To keep the index small, only runs whose minimiser (the least hash of the word
 8-grams in them) occurs at least twice in the corpus are looked up at all: a
@@ -13,6 +21,8 @@ repeated run has a repeated minimiser. Tasks aggregate before each shuffle, so
 that a passage of every document sends one row per task to its block.
 """
 
+from heapq import heappop, heappush
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -119,7 +129,7 @@ def _match_rows(h1, h2, doc, start, window: int) -> pa.RecordBatch:
     new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     later = (doc != doc[first]) | (start != start[first])
-    f_doc, f_start, *factor = factors(
+    f_doc, f_start, *factor = matches(
         doc[later], start[later], np.full(np.count_nonzero(later), window), doc[first][later], start[first][later], window
     )
     kinds = [("words", np.int32), ("ref_doc", np.int64), ("ref_start", np.int32)]
@@ -138,8 +148,8 @@ def _match_rows(h1, h2, doc, start, window: int) -> pa.RecordBatch:
     )
 
 
-def factors(doc, start, words, ref_doc, ref_start, window: int):
-    """Greedy parse: matches in order, joined while text and source go on without a gap."""
+def matches(doc, start, words, ref_doc, ref_start, window: int):
+    """Runs with their sources in order, followed for as long as text and source go on without a gap."""
     order = np.lexsort((ref_start, ref_doc, start, doc))
     doc, start, words, ref_doc, ref_start = (x[order] for x in (doc, start, words, ref_doc, ref_start))
     if not len(doc):
@@ -157,8 +167,34 @@ def factors(doc, start, words, ref_doc, ref_start, window: int):
     return doc[first], start[first], start[last] + words[last] - start[first], ref_doc[first], ref_start[first]
 
 
-def duplicate_factors(docs: DataFrame, window: int = 20) -> DataFrame:
-    """``doc_id, factors``: array of (start, words, ref_doc, ref_start), words counted from 0, for documents that have any.
+def parse(start, words, ref_doc, ref_start, window: int) -> list[tuple[int, int, int, int, bool]]:
+    """Greedy parse of one document: ``(start, words, ref_doc, ref_start, border)``.
+
+    The arguments are its ``matches``. Factors of *window* words or more are given, in order
+    and apart; words between them match less. Spans with *border* cross the end of a factor.
+    """
+    _, *found = matches(np.zeros(len(start), np.int64), start, words, ref_doc, ref_start, window)
+    found = list(zip(*(x.tolist() for x in found)))
+    out, open_, at, here = [], [], 0, 0
+    while at < len(found) or open_:
+        while at < len(found) and found[at][0] <= here:
+            a, n, doc, source = found[at]
+            # The longest of those that hold a run from here on comes first.
+            heappush(open_, (window - a - n, a, n, doc, source))
+            at += 1
+        if open_ and -open_[0][0] >= here:
+            _, a, n, doc, source = heappop(open_)
+            out.append((here, a + n - here, doc, source + here - a, False))
+            here = a + n
+        else:
+            out += [(a, n, doc, source, True) for _, a, n, doc, source in open_ if a + n > here]
+            open_ = []
+            here = max(here, found[at][0]) if at < len(found) else here
+    return sorted(out)
+
+
+def found_matches(docs: DataFrame, window: int = 20) -> DataFrame:
+    """``doc_id, found``: array of (start, words, ref_doc, ref_start), the matches of documents that have any, words counted from 0.
 
     *docs* has ``doc_id`` (not NULL) and ``text``.
     """
@@ -190,11 +226,11 @@ def duplicate_factors(docs: DataFrame, window: int = 20) -> DataFrame:
     windows = docs.join(repeated_seeds(docs, window), "doc_id").mapInArrow(run, _MATCH)
     in_order = Window.partitionBy("h1", "h2").orderBy("doc_id", "start")
     firsts = {"first_doc": F.first("doc_id").over(in_order), "first_start": F.first("start").over(in_order)}
-    matches = windows.withColumns(firsts).filter("h2 = -1 OR doc_id != first_doc OR start != first_start")
+    earlier = windows.withColumns(firsts).filter("h2 = -1 OR doc_id != first_doc OR start != first_start")
     source = F.struct(F.lit(window).alias("words"), F.col("first_doc").alias("ref_doc"), F.col("first_start").alias("ref_start"))
-    match = matches.select("doc_id", "start", F.coalesce("factor", source).alias("f"))
+    match = earlier.select("doc_id", "start", F.coalesce("factor", source).alias("f"))
     return match.groupBy("doc_id").agg(
-        F.collect_list(F.struct("start", "f.words", "f.ref_doc", "f.ref_start")).alias("factors")
+        F.collect_list(F.struct("start", "f.words", "f.ref_doc", "f.ref_start")).alias("found")
     )
 
 
@@ -209,19 +245,20 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
     """
     read = id_and_text(docs)
     named = read.filter("doc_id IS NOT NULL")
-    found = named.join(duplicate_factors(named, window), "doc_id", "left")
+    found = named.join(found_matches(named, window), "doc_id", "left")
     schema = (
         "doc_id long, n_words long, n_removed long, "
-        "factors array<struct<start:int,words:int,ref_doc:long,ref_start:int>>, kept string"
+        "factors array<struct<start:int,words:int,ref_doc:long,ref_start:int,border:boolean>>, kept string"
     )
 
     def run(batches):
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
+        names = ["start", "words", "ref_doc", "ref_start", "border"]
+        kind = pa.list_(pa.struct(list(zip(names, [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]))))
         for batch in sliced(batches, "text"):
             data, offsets = utf8(batch.column("text"))
             words = words_of(data, offsets, seeds=())
             raw = data.tobytes()
-            lists = batch.column("factors")
+            lists = batch.column("found")
             n_words, removed, spans, kept = [], [], [], []
             for i in range(batch.num_rows):
                 low, high = int(words.row_starts[i]), int(words.row_ends[i])
@@ -232,18 +269,15 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
                 else:
                     match = lists[i].values
                     columns = [match.field(f).to_numpy() for f in ("start", "words", "ref_doc", "ref_start")]
-                    _, start, length, ref_doc, ref_start = factors(columns[0] * 0, *columns, window)
+                    own = parse(*columns, window)
+                    start, stop = np.array([(a, a + m) for a, m, *_ in own]).T
                     change = np.zeros(n + 1, np.int64)
                     np.add.at(change, np.minimum(start, n), 1)
-                    np.add.at(change, np.minimum(start + length, n), -1)
+                    np.add.at(change, np.minimum(stop, n), -1)
                     gone = np.cumsum(change[:n]) > 0
-                    own = [
-                        dict(zip(("start", "words", "ref_doc", "ref_start"), x))
-                        for x in zip(start.tolist(), length.tolist(), ref_doc.tolist(), ref_start.tolist())
-                    ]
                 left = np.flatnonzero(~gone) + low
                 removed.append(n - len(left))
-                spans.append(own)
+                spans.append([dict(zip(names, x)) for x in own])
                 kept.append(b" ".join([raw[a:b] for a, b in zip(words.starts[left].tolist(), words.ends[left].tolist())]))
             yield pa.record_batch(
                 [
@@ -256,7 +290,7 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "factors", "kept"],
             )
 
-    unnamed = read.filter("doc_id IS NULL").withColumn("factors", F.lit(None).cast(found.schema["factors"].dataType))
+    unnamed = read.filter("doc_id IS NULL").withColumn("found", F.lit(None).cast(found.schema["found"].dataType))
     return found.mapInArrow(run, schema).union(unnamed.mapInArrow(run, schema))
 
 
