@@ -87,9 +87,32 @@ def _plain(clean: Column) -> Column:
     return F.split(F.lower(F.translate(clean, JOINED + NAMED, " ")), " ")
 
 
-def _hash(path: int, words: Column, at: Column, length: int) -> Column:
-    """Hash of a path and the hashes of *length* words from *at* on; that of an array is the same, but needs a copy for each window."""
-    return F.xxhash64(F.lit(path), *[F.get(words, at + (i - 1)) for i in range(length)])
+def _doubled(hashes: str, step: int) -> Column:
+    return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + step)))
+
+
+def _with_halves(frame: DataFrame, words: str, longest: int) -> DataFrame:
+    """*frame* with ``{words}_2``, ``{words}_4``, ...: hashes of so many words from each place on, fewer than *longest*.
+
+    Each is made of two of the one before, so a window of any length costs two
+    look-ups in place of one for each word. The last places of each, short of words, are of no use.
+    """
+    whole, step = words, 1
+    while 2 * step < longest:
+        frame = frame.withColumn(f"{words}_{2 * step}", _doubled(whole, step))
+        whole, step = f"{words}_{2 * step}", 2 * step
+    return frame
+
+
+def _half(length: int) -> int:
+    """Words of the two halves, which may overlap, of a window."""
+    return 1 << max(0, (length - 1).bit_length() - 1)
+
+
+def _hash(path: Column, words: str, length: int, h: Column, at: Column) -> Column:
+    """Hash of the window at a place, counted from 0, whose first half has hash *h*."""
+    half = _half(length)
+    return F.xxhash64(path, h, F.get(words if half == 1 else f"{words}_{half}", at + (length - half)))
 
 
 def _item_windows(items: DataFrame, width: int) -> DataFrame:
@@ -121,8 +144,13 @@ def _item_windows(items: DataFrame, width: int) -> DataFrame:
     sparse = cut(typed, length).filter(F.col("slots") * 3 <= F.col("length"))
     dense = typed.join(sparse.select("item_id").distinct(), "item_id", "leftanti")
     longer = cut(dense, F.least(n, F.lit(2 * width))).filter(F.col("slots") * 2 <= F.col("length"))
-    hashed = F.xxhash64("path", F.transform("part", lambda w: F.xxhash64(w)))
-    return cut(plain, length).unionByName(sparse).unionByName(longer).select("item_id", "path", "length", "at", hashed.alias("h"))
+    parts = cut(plain, length).unionByName(sparse).unionByName(longer)
+    parts = _with_halves(parts.withColumn("part", F.transform("part", lambda w: F.xxhash64(w))), "part", 2 * width)
+    hashed = F.lit(None)
+    for n in range(1, 2 * width + 1):
+        first = F.get("part" if _half(n) == 1 else f"part_{_half(n)}", F.lit(0))
+        hashed = F.when(F.col("length") == n, _hash(F.col("path"), "part", n, first, F.lit(0))).otherwise(hashed)
+    return parts.select("item_id", "path", "length", "at", hashed.alias("h"))
 
 
 def _doc_windows(texts: DataFrame, keys: list[str], lengths: dict[int, list[int]]) -> DataFrame:
@@ -134,12 +162,16 @@ def _doc_windows(texts: DataFrame, keys: list[str], lengths: dict[int, list[int]
         numbers(_plain(F.col("clean"))).alias("words0"),
         F.when(slotted, numbers(F.split(_template(F.col("clean")), " "))).alias("words1"),
     )
+    for path, own in lengths.items():
+        read = _with_halves(read, f"words{path}", max(own))
     none = F.array().cast("array<bigint>")
 
     def windows(path: int, length: int) -> Column:
-        words = F.col(f"words{path}")
-        cut = F.transform(F.sequence(F.lit(1), F.size(words) - length + 1), lambda at: _hash(path, words, at, length))
-        return F.when(words.isNotNull() & (F.size(words) >= length), cut).otherwise(none)
+        words = f"words{path}"
+        first = words if _half(length) == 1 else f"{words}_{_half(length)}"
+        whole = F.slice(first, F.lit(1), F.greatest(F.array_size(words) - (length - 1), F.lit(0)))
+        cut = F.transform(whole, lambda h, at: _hash(F.lit(path), words, length, h, at))
+        return F.coalesce(cut, none)
 
     size = lambda path: F.coalesce(F.array_size(f"words{path}"), F.lit(0)).alias(f"n{path}")
     parts = [windows(path, length) for path, own in lengths.items() for length in own]
