@@ -5,7 +5,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MASK64 = (1 << 64) - 1
 
@@ -40,26 +40,40 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 _SIEVE, _PAGE = 1 << 26, 1 << 15
 
 
+def _pages(keys: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """Bitmap of the hashes of *keys* (one column, distinct) in pages, and for a row with that column its page and its bit."""
+    slot = F.pmod(F.xxhash64(keys.columns[0]), F.lit(_SIEVE))
+    place = (slot % _PAGE).cast("int")
+    pages = keys.select((slot / _PAGE).cast("int").alias("sieve_page"), place.cast("long").alias("sieve_place"))
+    # Dealt by page first: a page of few bits from every task would be more than the keys.
+    pages = pages.repartition("sieve_page").groupBy("sieve_page").agg(F.bitmap_construct_agg("sieve_place").alias("sieve_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("sieve_bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return pages, (slot / _PAGE).cast("int") == F.col("sieve_page"), F.getbit(byte, place % 8) == 1
+
+
 def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of *docs* whose ``doc_id`` is among *ids* (one column, distinct).
 
     A bitmap of the ids' hashes, of fixed size and so safe to broadcast, keeps other rows' texts
     out of the shuffle of the join that follows.
     """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(_SIEVE))
-    place = (slot % _PAGE).cast("int")
-    pages = ids.select((slot / _PAGE).cast("int").alias("sieve_page"), place.cast("long").alias("sieve_place"))
-    # Dealt by page first: a page of few bits from every task would be more than the ids.
-    pages = pages.repartition("sieve_page").groupBy("sieve_page").agg(F.bitmap_construct_agg("sieve_place").alias("sieve_bits"))
-    byte = F.conv(F.hex(F.substring(F.col("sieve_bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    page = (slot / _PAGE).cast("int") == F.col("sieve_page")
-    sifted = docs.join(F.broadcast(pages), page).filter(F.getbit(byte, place % 8) == 1)
+    pages, page, bit = _pages(ids)
+    sifted = docs.join(F.broadcast(pages), page).filter(bit)
     # A set number of partitions, so that texts that are few for the shuffle do not come in large ones for Python.
     sifted = sifted.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
     # An inner join, as a semi join would be pushed below the one with the bitmap.
     return sifted.drop("sieve_page", "sieve_bits").join(ids, "doc_id")
 
 
+def perhaps_among(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """*rows* with a boolean column *name*: true for all whose key is among *keys* (one column, distinct), and for a few others.
+
+    The same key gets the same answer in every row. The keys' bitmap is of fixed size, so no row moves.
+    """
+    pages, page, bit = _pages(keys)
+    return rows.join(F.broadcast(pages), page, "left").withColumn(name, F.coalesce(bit, F.lit(False))).drop("sieve_page", "sieve_bits")
+
+
 def id_bucket(doc_id, parts: int):
     """crc32 of the id as text, modulo *parts*; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

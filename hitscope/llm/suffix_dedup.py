@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hitscope.llm import rolling
-from hitscope.llm.common import concatenated_ranges, id_and_text, save, sliced, utf8
+from hitscope.llm.common import concatenated_ranges, id_and_text, perhaps_among, save, sliced, utf8
 
 #: Bytes of a seed, segments bytes of a suffix array, bytes a task gathers before it aggregates.
 SEED_BYTES, _ARRAY, _GATHER = 64, 1 << 19, 1 << 24
+#: Minimisers a task gathers before it counts them.
+_SEEDS = 1 << 20
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -56,16 +58,51 @@ def _segments(data: np.ndarray, offsets: np.ndarray, length: int):
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def seeds(docs: DataFrame, length: int) -> DataFrame:
-    """``seed, doc_id, position`` of every minimiser of every document (rarely twice)."""
+def _seed_rows(parts: list[tuple]) -> pa.RecordBatch:
+    """Minimisers (seed, document, position) of a task: those it has once, count 1; the others' places, count 0, and one row each with the count."""
+    seed, doc, position = (np.concatenate(x) for x in zip(*parts))
+    distinct, inverse, counts = np.unique(seed, return_inverse=True, return_counts=True)
+    often = counts > 1
+    none = np.zeros(np.count_nonzero(often), np.int64)
+    bare = np.concatenate([np.zeros(len(seed), bool), none == 0])
+    return pa.record_batch(
+        [
+            pa.array(np.concatenate([seed, distinct[often]])),
+            pa.array(np.concatenate([doc, none]), mask=bare),
+            pa.array(np.concatenate([position, none]), mask=bare),
+            pa.array(np.concatenate([(~often)[inverse].astype(np.int64), counts[often]])),
+        ],
+        ["seed", "doc_id", "position", "n"],
+    )
+
+
+def repeated_seeds(docs: DataFrame, length: int, hot: int) -> DataFrame:
+    """``doc_id, seeds``: position of every minimiser of a document that the corpus holds twice or more, and whether it is hot.
+
+    Hot are those with more than *hot* occurrences, and a few others. A minimiser that a task holds
+    more than once is known to repeat there, so by seed each task sends one row of it, not every place.
+    """
 
     def run(batches):
+        parts, size = [], 0
         for batch in sliced(batches, "text"):
             row, _, _, position, value = _segments(*utf8(batch.column("text")), length)
-            ids = batch.column("doc_id").to_numpy()[row]
-            yield pa.record_batch([pa.array(value.view(np.int64)), pa.array(ids), pa.array(position)], ["seed", "doc_id", "position"])
-
-    return docs.mapInArrow(run, "seed long, doc_id long, position long")
+            # Segments of a long text that is read in pieces may share one minimiser.
+            place = np.unique(np.stack([row, position]), axis=1, return_index=True)[1]
+            parts.append((value.view(np.int64)[place], batch.column("doc_id").to_numpy()[row[place]], position[place]))
+            size += len(place)
+            if size > _SEEDS:
+                yield _seed_rows(parts)
+                parts, size = [], 0
+        if size:
+            yield _seed_rows(parts)
+
+    every = save(docs.mapInArrow(run, "seed long, doc_id long, position long, n long"), "seeds")
+    often = every.filter("n > 0").groupBy("seed").agg(F.sum("n").alias("total")).filter("total > 1")
+    single = every.filter("n = 1").join(often.select("seed"), "seed", "leftsemi")
+    places = single.union(every.filter("n = 0"))
+    marked = perhaps_among(places, often.filter(F.col("total") > hot).select("seed"), "hot")
+    return marked.groupBy("doc_id").agg(F.collect_list(F.struct("position", "hot")).alias("seeds"))
 
 
 _ROWS = "key long, other long, doc_id long, start long, windows int, copies int, bytes binary"
@@ -326,19 +363,11 @@ def _spans(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "stop"])
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, hot: int = 2048) -> DataFrame:
+def repeated_spans(docs: DataFrame, marked: DataFrame, length: int = 400) -> DataFrame:
     """``doc_id, spans``: stretches [start, stop) of bytes that repeated strings of *length* cover.
 
-    *docs* has ``doc_id`` (not NULL) and ``text``. *hot* decides only how occurrences are dealt out.
+    *docs* has ``doc_id`` (not NULL) and ``text``, *marked* their ``repeated_seeds``.
     """
-    every = save(seeds(docs, length), "seeds")
-    often = every.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    marked = (
-        every.join(often, "seed")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("position", (F.col("n") > hot).alias("hot"))).alias("seeds"))
-    )
-
     def cut(batches):
         found: dict = {}
         spread: list = []
@@ -374,14 +403,14 @@ def suffix_dedup(docs: DataFrame, length: int = 400, hot: int = 2048) -> DataFra
 
     Each byte goes that a string of *length* bytes covers which also starts
     anywhere else in the corpus as given, the same document included; matches do not
-    cross documents. ``kept`` is binary, as a cut may fall inside a character. A NULL text is empty. ``doc_id`` names a
+    cross documents. *hot* decides only how occurrences are dealt out. ``kept`` is binary, as a cut may fall inside a character. A NULL text is empty. ``doc_id`` names a
     document: rows that repeat an id with the same text are one document and do not make
     each other a repeat (with another text, a span of one is cut from all); rows
     without an id lose nothing and take nothing from others.
     """
     read = id_and_text(docs)
     named = read.filter("doc_id IS NOT NULL")
-    found = named.join(repeated_spans(named, length, hot), "doc_id", "left")
+    found = named.join(repeated_spans(named, repeated_seeds(named, length, hot), length), "doc_id", "left")
     unnamed = read.filter("doc_id IS NULL").withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,stop:long>>, kept binary"
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
