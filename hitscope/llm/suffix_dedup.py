@@ -16,6 +16,8 @@ are instead dealt out one by one, by a 128-bit hash, of which every task sends
 each once.
 """
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -250,13 +252,21 @@ def maximal_repeats(order: np.ndarray, shared: np.ndarray, left: np.ndarray, min
     return out
 
 
-def _group_repeats(groups: list[list[tuple]], length: int) -> list[list[tuple[int, int]]]:
-    """For segments of some groups (bytes, windows, copies), the repeated stretches of each, as (from, to)."""
-    segments = [s for group in groups for s in group]
-    sizes = np.array([len(s[0]) for s in segments])
+class WindowsArray(NamedTuple):
+    """Suffix array of segments of bytes + 1, each behind its own start and ended by 0: only suffixes of a window or more."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    owner: np.ndarray
+    order: np.ndarray
+    shared: np.ndarray
+
+
+def windows_array(segments: list[bytes], length: int) -> WindowsArray:
+    sizes = np.array([len(s) for s in segments])
     starts = np.cumsum(sizes + 1) - sizes - 1
     data = np.zeros(int((sizes + 1).sum()), np.int64)
-    data[concatenated_ranges(starts, sizes)] = np.frombuffer(b"".join(s[0] for s in segments), np.uint8).astype(np.int64) + 1
+    data[concatenated_ranges(starts, sizes)] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int64) + 1
     order, shared = suffix_array(data, length)
     # Only windows count: a suffix with less than *length* bytes before its segment's end shares less.
     owner = np.repeat(np.arange(len(segments)), sizes + 1)
@@ -270,7 +280,13 @@ def _group_repeats(groups: list[list[tuple]], length: int) -> list[list[tuple[in
         shared = np.minimum(least, np.minimum(room[order[kept]], np.append(0, room[order[kept]][:-1])))
     else:
         shared = np.zeros(len(kept), np.int64)
-    order = order[kept]
+    return WindowsArray(data, starts, owner, order[kept], shared)
+
+
+def _group_repeats(groups: list[list[tuple]], length: int) -> list[list[tuple[int, int]]]:
+    """For segments of some groups (bytes, windows, copies), the repeated stretches of each, as (from, to)."""
+    segments = [s for group in groups for s in group]
+    data, starts, owner, order, shared = windows_array([s[0] for s in segments], length)
     left = np.empty(len(data), np.int64)
     left[1:] = data[:-1]
     left[starts] = -1 - np.arange(len(starts))
