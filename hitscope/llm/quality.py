@@ -145,8 +145,10 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 def train(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Trees:
     """Trees from labelled documents whose crc32(id) modulo 3 is not 1.
 
-    At most *max_rows* of them, those with the smallest hash of the id. Labels
-    other than 0 and 1 are ignored, and so is a document with both.
+    At most *max_rows* of them, those with the smallest hash of the id. Where there are more, only
+    ids below a hash that somewhat more than *max_rows* are expected under are looked at, so that the
+    tasks together send about as many rows as are wanted. Labels other than 0 and 1 are ignored, and
+    so is a document with both.
     """
     clean = (
         labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (id_bucket(F.col("doc_id"), 3) != 1))
@@ -154,6 +156,11 @@ def train(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Trees:
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
         .filter("quality = other")
     )
+    n = stats.select("doc_id").join(clean, "doc_id").count()
+    # Ten standard deviations more than wanted.
+    share = (max_rows + 10 * max_rows**0.5 + 100) / max(n, 1)
+    if share < 1:
+        clean = clean.filter(F.xxhash64("doc_id") < int((share - 0.5) * 2**64))
     rows = (
         stats.join(clean, "doc_id")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "stats")
