@@ -83,8 +83,9 @@ def _streamed(
 def _arriving(spark: SparkSession, sf_dir: str, root: str, batches: int = 4) -> DataFrame:
     """A burst of the log as a text source that arrives in *batches* micro-batches."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lines = log_lines(spark, sf_dir, burst=True)
-    lines.repartition(batches * width, "event_id").select("value").write.text(f"{root}/log")
+    # Events are dealt out, not lines: they are shorter, and lines are made by as many tasks however few the table has.
+    events = spark.read.parquet(events_path(sf_dir)).repartition(batches * width, "event_id")
+    with_log_line(events, burst=True).select("value").write.text(f"{root}/log")
     return read_log_stream(stream_session(spark), "text", {"path": f"{root}/log", "maxFilesPerTrigger": str(width)})
 
 
