@@ -137,9 +137,10 @@ def _watermarked_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     root = shared_path(spark, "watermarked")
     part = f"(day(ts) div {PART_DAYS} + CASE WHEN event_id % {LATE_EVERY} = 0 THEN 1 ELSE 0 END)"
-    lines = with_log_line(spark.read.parquet(events_path(sf_dir)), more=f"{part} AS part")
+    events = spark.read.parquet(events_path(sf_dir))
     for number in range(5):
-        lines.where(F.col("part") == number).select("value").write.mode("append").text(f"{root}/log")
+        dealt = events.where(F.expr(part) == number).repartition("event_id")
+        with_log_line(dealt).select("value").write.mode("append").text(f"{root}/log")
         arriving = read_log_stream(stream_session(spark), "text", {"path": f"{root}/log"})
         spikes = op.error_spikes(op.parse_stream_tokens(arriving), watermark=LATENESS)
         query = start_query(

@@ -5,7 +5,7 @@ import pytest
 from hitscope.plans import registry
 
 
-@pytest.mark.parametrize("query", ["stream_alerts_together"])
+@pytest.mark.parametrize("query", ["stream_alerts_together", "stream_watermarked_spikes"])
 def test_events_are_dealt_out_before_lines_are_made(spark, tmp_path, monkeypatch, query):
     events = spark.sql(
         "SELECT id AS event_id, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(CAST(id % 30 AS INT)) AS ts,"
