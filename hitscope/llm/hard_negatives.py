@@ -4,14 +4,12 @@ Vectors are sorted by tiles (slabs of one coordinate, each sorted by a second on
 partitions of bounded size. A task packs its tile into an R-tree by sort-tile-recursive:
 leaves of consecutive rows, nodes of consecutive leaves, each with its minimum bounding
 box. For an anchor every box gives an interval of inner products, coordinate by coordinate.
-A queue pops the box with the greatest upper bound first; boxes outside the score windows
+Leaves are opened from the greatest upper bound downwards; boxes outside the score windows
 or strictly below the least score that still counts are never opened. (Equal to it they are, for
-ties.) Anchors are the queries; blocks of them meet every tile, and of each tile at most k rows
-a search go on to be merged.
+ties.) Anchors are the queries; blocks of them meet every tile, many go down a tree at once, each
+in its own order, and of each tile at most k rows a search go on to be merged.
 """
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -20,6 +18,8 @@ from hitscope.llm.common import save
 
 #: Rows of a tile, anchors of a block, rows of a leaf, children of a node.
 TILE, ANCHORS, LEAF, FANOUT = 8192, 4096, 64, 16
+#: Anchors that go down a tree at once; bounds the memory of a task.
+ABREAST = 256
 #: Slabs of the coordinate that varies most, before each is sorted by the second one.
 SLABS = 16
 #: Below this squared norm every score, and every partial sum of one, is an exact double.
@@ -60,46 +60,86 @@ class RTree:
             self.levels.append(boxes)
         self.opened = 0  # leaves that searches have read
 
-    def _intervals(self, level: int, nodes: slice, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low, high = (side[nodes] * query for side in self.levels[level])
-        return np.minimum(low, high).sum(axis=1), np.maximum(low, high).sum(axis=1)
+    def _intervals(self, level: int, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest inner product of every box of a level with every query."""
+        low, high = self.levels[level]
+        up, down = np.maximum(queries, 0).T, np.minimum(queries, 0).T
+        # Corners may be longer than any row, so that sums of theirs are rounded.
+        slack = np.maximum(-self.levels[-1][0][0], self.levels[-1][1][0]) @ (up - down) * queries.shape[1] * 2.0**-50
+        return low @ up + high @ down - np.abs(slack), high @ up + low @ down + np.abs(slack)
 
     def search(self, query: np.ndarray, wanted, windows: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """``scores, ids`` of the first *k* rows for which *wanted*(labels, ids) holds, for each of the score *windows* (low, high)."""
-        best = [(np.zeros(0), np.zeros(0, np.int64)) for _ in windows]
-        floors = windows[:, 0].copy()  # below it a row cannot count any more
-
-        def useful(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-            return ((high[:, None] >= floors) & (low[:, None] <= windows[:, 1])).any(axis=1)
-
-        low, high = self._intervals(len(self.levels) - 1, slice(0, 1), query)
-        queue = [(-high[0], len(self.levels) - 1, 0, low[0])]
-        while queue:
-            upper, level, node, lower = heapq.heappop(queue)
-            if -upper < floors.min():
+        _, window, scores, ids = self.search_all(query[None, :], lambda labels, ids, _: wanted(labels, ids), windows[None, :, :], k)
+        return [(scores[window == j], ids[window == j]) for j in range(len(windows))]
+
+    def search_all(self, queries: np.ndarray, wanted, windows: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """``query, window, score, id`` of the first *k* rows in each score window of each query, first ones first.
+
+        *windows* has (low, high) by query and number. *wanted*(labels, ids, queries) tells
+        which rows (a column) count for which queries (their numbers, along the other axis).
+        """
+        floors, most = windows[:, :, 0].copy(), windows[:, :, 1]  # below its floor a row cannot count any more
+
+        def useful(low: np.ndarray, high: np.ndarray, at) -> np.ndarray:
+            return ((high[..., None] >= floors[at]) & (low[..., None] <= most[at])).any(axis=-1)
+
+        alive = np.ones((1, len(queries)), bool)
+        for level in range(len(self.levels) - 1, -1, -1):
+            alive = np.repeat(alive, self.fanout, axis=0)[: len(self.levels[level][0])]
+            low, high = self._intervals(level, queries)
+            alive &= useful(low, high, slice(None))
+        high[~alive] = -np.inf
+        order = np.argsort(-high, axis=0, kind="stable")
+        pool = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        begin, width = 0, 1
+        while begin < len(order):
+            leaf = order[begin : begin + width]
+            query = np.broadcast_to(np.arange(len(queries)), leaf.shape)
+            keep = alive[leaf, query] & useful(low[leaf, query], high[leaf, query], query)
+            leaf, query = leaf[keep], query[keep]
+            if not len(leaf) and not alive[order[begin:], np.arange(len(queries))].any():
                 break
-            if not useful(np.array([lower]), np.array([-upper]))[0]:
-                continue
-            if level:
-                children = slice(node * self.fanout, min((node + 1) * self.fanout, len(self.levels[level - 1][0])))
-                low, high = self._intervals(level - 1, children, query)
-                for i in np.flatnonzero(useful(low, high)).tolist():
-                    heapq.heappush(queue, (-high[i], level - 1, children.start + i, low[i]))
-                continue
-            self.opened += 1
-            rows = slice(node * self.leaf, (node + 1) * self.leaf)
-            scores = self.points[rows] @ query
-            fits = wanted(self.labels[rows], self.ids[rows])
-            for j, (_, most) in enumerate(windows):
-                take = fits & (scores >= floors[j]) & (scores <= most)
-                if not take.any():
-                    continue
-                both = np.concatenate([best[j][0], scores[take]]), np.concatenate([best[j][1], self.ids[rows][take]])
-                first = np.lexsort((both[1], -both[0]))[:k]
-                best[j] = both[0][first], both[1][first]
-                if len(first) == k:
-                    floors[j] = max(floors[j], best[j][0][-1])
-        return best
+            self.opened += len(leaf)
+            by = np.argsort(leaf, kind="stable")
+            leaf, query = leaf[by], query[by]
+            cuts = np.flatnonzero(np.diff(leaf)) + 1
+            found = [pool]
+            for node, at in zip(leaf[np.append(0, cuts)].tolist(), np.split(query, cuts)) if len(leaf) else ():
+                rows = slice(node * self.leaf, (node + 1) * self.leaf)
+                scores = self.points[rows] @ queries[at].T
+                fits = wanted(self.labels[rows, None], self.ids[rows, None], at)
+                row, column = np.nonzero(fits & (scores >= floors[at].min(axis=1)) & (scores <= most[at].max(axis=1)))
+                found.append((at[column], scores[row, column], self.ids[rows][row]))
+            pool = self._first(tuple(np.concatenate(x) for x in zip(*found)), floors, most, k)
+            begin, width = begin + width, 2 * width
+        own, score, ids = pool
+        parts = []
+        for j in range(windows.shape[1]):
+            first = self._in_window(pool, floors, most, j, k)
+            parts.append((own[first], np.full(len(first), j), score[first], ids[first]))
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    @staticmethod
+    def _in_window(pool: tuple[np.ndarray, ...], floors: np.ndarray, most: np.ndarray, j: int, k: int) -> np.ndarray:
+        """Places of the first *k* rows of each query in its window *j*; *pool* is in order of query, score and id."""
+        query, score, _ = pool
+        fits = np.flatnonzero((score >= floors[query, j]) & (score <= most[query, j]))
+        own = query[fits]
+        return fits[np.arange(len(own)) - np.searchsorted(own, own) < k]
+
+    def _first(self, pool: tuple[np.ndarray, ...], floors: np.ndarray, most: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """The rows of *pool* that are among the first *k* of a window, in order; raises the floors to the last of *k*."""
+        by = np.lexsort((pool[2], -pool[1], pool[0]))
+        pool = tuple(x[by] for x in pool)
+        counts = np.zeros(len(pool[0]), bool)
+        for j in range(floors.shape[1]):
+            first = self._in_window(pool, floors, most, j, k)
+            counts[first] = True
+            own = pool[0][first]
+            last = np.flatnonzero(np.arange(len(own)) - np.searchsorted(own, own) == k - 1)
+            floors[own[last], j] = np.maximum(floors[own[last], j], pool[1][first[last]])
+        return tuple(x[counts] for x in pool)
 
 
 def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -145,7 +185,7 @@ def _matrix(rows: pa.Table) -> np.ndarray:
 
 
 def _searched(tiles: DataFrame, queries: DataFrame, n_anchors: int, found, schema: str) -> DataFrame:
-    """Rows that *found*(tree, row of queries) yields, for every row of *queries* and every tile of its size.
+    """Columns that *found*(tree, some of the queries, their vectors) gives, for all *queries* and every tile of their size.
 
     *queries* have ``anchor_id, size, vector``. Blocks of ANCHORS of them meet the tiles of their
     size, each a row group of bounded size.
@@ -158,15 +198,13 @@ def _searched(tiles: DataFrame, queries: DataFrame, n_anchors: int, found, schem
     held = tiles.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
+        parts = [[np.zeros(0, np.int64)] * len(names)]
         if left.num_rows and right.num_rows:
             tree = RTree(_matrix(left), left.column("vec_id").to_numpy(), left.column("label").to_numpy())
             points = _matrix(right)
-            rows = right.drop_columns(["vector"]).to_pylist()
-            for row, point in zip(rows, points):
-                parts += found(tree, row, point)
-        columns = list(zip(*parts)) or [[] for _ in names]
-        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(names, columns)})
+            for low in range(0, right.num_rows, ABREAST):
+                parts.append(found(tree, right.slice(low, ABREAST), points[low : low + ABREAST]))
+        return pa.table({name: pa.array(np.concatenate(c), pa.int64()) for name, c in zip(names, zip(*parts))})
 
     names = [part.split()[0] for part in schema.split(", ")]
     keys = ["size", "tile", "block"]
@@ -191,23 +229,28 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
     tiles = tiled(usable(vectors), tile)
     anchors = tiles.filter(is_anchor).select(F.col("vec_id").alias("anchor_id"), "label", "size", "vector")
     n_anchors = anchors.count()
-    everything = np.array([[-np.inf, np.inf]])
 
-    def near(tree, row, point):
-        own, label = row["anchor_id"], row["label"]
-        ((scores, ids),) = tree.search(point, lambda labels, ids: (labels == label) & (ids != own), everything, positives)
-        return [(own, int(i), int(s)) for s, i in zip(scores, ids)]
+    def near(tree, asked, points):
+        own, label = asked.column("anchor_id").to_numpy(), asked.column("label").to_numpy()
+        everything = np.broadcast_to([-np.inf, np.inf], (len(own), 1, 2))
+        at, _, scores, ids = tree.search_all(points, lambda labels, ids, at: (labels == label[at]) & (ids != own[at]), everything, positives)
+        return own[at], ids, scores.astype(np.int64)
 
     close = _searched(tiles, anchors, n_anchors, near, "anchor_id long, positive_id long, positive_score long")
     chosen = save(_first(close, ["anchor_id"], "positive_id", "positive_score", positives).drop("rank"), "positives")
     scores = chosen.filter("positive_score >= 0").groupBy("anchor_id").agg(F.collect_set("positive_score").alias("scores"))
 
-    def between(tree, row, point):
-        own, label, scores = row["anchor_id"], row["label"], sorted(row["scores"])
-        # Whole numbers from low/100 to high/100 of the positive score.
-        windows = np.array([[-(-low * s // 100), high * s // 100] for s in scores], float)
-        found = tree.search(point, lambda labels, ids: (labels != label) & (ids != own), windows, negatives)
-        return [(own, s, int(i), int(x)) for s, (values, ids) in zip(scores, found) for x, i in zip(values, ids)]
+    def between(tree, asked, points):
+        own, label = asked.column("anchor_id").to_numpy(), asked.column("label").to_numpy()
+        lists = asked.column("scores").to_pylist()
+        # Whole numbers from low/100 to high/100 of the positive score; no score lies in the windows that fill up.
+        windows = np.tile([np.inf, -np.inf], (len(own), max(map(len, lists)), 1))
+        bases = np.zeros(windows.shape[:2], np.int64)
+        for i, scores in enumerate(lists):
+            for j, s in enumerate(sorted(scores)):
+                windows[i, j], bases[i, j] = (-(-low * s // 100), high * s // 100), s
+        at, j, scores, ids = tree.search_all(points, lambda labels, ids, at: (labels != label[at]) & (ids != own[at]), windows, negatives)
+        return own[at], bases[at, j], ids, scores.astype(np.int64)
 
     asked = anchors.join(scores, "anchor_id")
     met = _searched(tiles, asked, n_anchors, between, "anchor_id long, positive_score long, negative_id long, negative_score long")
