@@ -12,6 +12,7 @@ import base64
 import hashlib
 import itertools
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -161,6 +162,11 @@ class Vocabulary:
         merged = self.tokens[left] + self.tokens[right]
         return self.ranks.get(merged, int(_NONE))
 
+    def forget(self) -> None:
+        """Let go of all that was learnt."""
+        self.known.clear()
+        self.chunks.clear()
+
     def learn(self, words: list[str]) -> None:
         """Encode words that are not known yet."""
         raw = [w.encode() for w in words]
@@ -244,6 +250,17 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(path, pattern)
 
 
+@contextmanager
+def learning(path: str, pattern: str) -> Iterator[Vocabulary]:
+    """The vocabulary for one task; a worker that waits, or does other work, keeps none of the words, nor Arrow's freed memory."""
+    vocab = vocabulary(path, pattern)
+    try:
+        yield vocab
+    finally:
+        vocab.forget()
+        pa.default_memory_pool().release_unused()
+
+
 def _texts(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, list]]:
     column = batch.column(name)
     for start, stop in row_slices(utf8(column)[1], _BYTES):
@@ -258,11 +275,11 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """
 
     def run(batches):
-        vocab = vocabulary(ranks_path, pattern)
-        for batch in batches:
-            for start, texts in _texts(batch, "text"):
-                ids = vocab.encode(texts)
-                yield pa.record_batch([batch.column("doc_id").slice(start, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        with learning(ranks_path, pattern) as vocab:
+            for batch in batches:
+                for start, texts in _texts(batch, "text"):
+                    ids = vocab.encode(texts)
+                    yield pa.record_batch([batch.column("doc_id").slice(start, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, ids binary")
 
@@ -286,19 +303,19 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the round trip of each whole text, in one pass."""
 
     def run(batches):
-        vocab = vocabulary(ranks_path, pattern)
-        for batch in batches:
-            for start, texts in _texts(batch, "text"):
-                ids = vocab.encode(texts)
-                yield pa.record_batch(
-                    [
-                        batch.column("doc_id").slice(start, len(ids)),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                        pa.array([hashlib.sha256(vocab.decode(x)).hexdigest() for x in ids]),
-                    ],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        with learning(ranks_path, pattern) as vocab:
+            for batch in batches:
+                for start, texts in _texts(batch, "text"):
+                    ids = vocab.encode(texts)
+                    yield pa.record_batch(
+                        [
+                            batch.column("doc_id").slice(start, len(ids)),
+                            pa.array([len(x) // 4 for x in ids], pa.int64()),
+                            pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                            pa.array([hashlib.sha256(vocab.decode(x)).hexdigest() for x in ids]),
+                        ],
+                        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                    )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return id_and_text(docs).mapInArrow(run, schema)

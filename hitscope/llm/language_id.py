@@ -8,6 +8,7 @@ Gates and states use x / (1 + |x|) in place of the exponential functions, which
 numpy evaluates several times slower.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -133,8 +134,8 @@ def train_network(
     return net
 
 
-def _states(table: np.ndarray, recurrent: np.ndarray, x: np.ndarray, out: np.ndarray) -> None:
-    """States after each row of x (T, B), written to out (T, B, H), in place throughout."""
+def _states(table: np.ndarray, recurrent: np.ndarray, x: np.ndarray) -> Iterator[np.ndarray]:
+    """The state (B, H) after each row of x (T, B), one after another in the same array."""
     units = recurrent.shape[0]
     tables = [np.ascontiguousarray(table[:, i * units : (i + 1) * units]) for i in range(3)]
     weights = [np.ascontiguousarray(recurrent[:, i * units : (i + 1) * units]) for i in range(3)]
@@ -146,8 +147,7 @@ def _states(table: np.ndarray, recurrent: np.ndarray, x: np.ndarray, out: np.nda
         np.add(side, 1, out=side)
         np.divide(a, side, out=a)
 
-    for t in range(len(x)):
-        row = x[t]
+    for row in x:
         for gate, table_, weight in ((z, tables[0], weights[0]), (r, tables[1], weights[1])):
             np.matmul(h, weight, out=gate)
             np.take(table_, row, axis=0, out=side, mode="clip")
@@ -163,7 +163,7 @@ def _states(table: np.ndarray, recurrent: np.ndarray, x: np.ndarray, out: np.nda
         n -= h
         n *= z
         h += n
-        out[t] = h
+        yield h
 
 
 def document_probabilities(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -181,14 +181,15 @@ def document_probabilities(net: Network, data: np.ndarray, offsets: np.ndarray)
     real = at < sizes
     x[~real] = 32
     units = net.recurrent[0].shape[0]
-    both = np.empty((2, STRETCH, len(starts), units), np.float32)
-    _states(net.tables[0], net.recurrent[0], x, both[0])
-    _states(net.tables[1], net.recurrent[1], x[::-1], both[1])
+    # Only the states of the way back are kept.
+    behind = np.empty((STRETCH, len(starts), units), np.float32)
+    for t, state in enumerate(_states(net.tables[1], net.recurrent[1], x[::-1])):
+        behind[STRETCH - 1 - t] = state
     sums = np.zeros((len(starts), len(net.languages)), np.float32)
     logits, back = np.empty_like(sums), np.empty_like(sums)
-    for t in range(STRETCH):
-        np.matmul(both[0, t], net.out[:units], out=logits)
-        np.matmul(both[1, STRETCH - 1 - t], net.out[units:], out=back)
+    for t, state in enumerate(_states(net.tables[0], net.recurrent[0], x)):
+        np.matmul(state, net.out[:units], out=logits)
+        np.matmul(behind[t], net.out[units:], out=back)
         logits += back
         logits += net.bias
         np.exp(logits, out=logits)  # states are within -1 and 1, so logits are small
